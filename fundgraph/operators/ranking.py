@@ -1,74 +1,40 @@
 """Ranks, running totals and exact quantiles over a whole table.
 
 A window without a partition would move all rows to one task.  Here the values
-are first counted, then cut into ranges at sampled boundaries; each range is
-ordered on its own and shifted by the (small) table of range totals.  Sampling
-only chooses where to cut, so the ranks are exact.
+are first counted and range-partitioned; each range is ordered on its own and
+shifted by the small table of range totals.  Where the ranges are cut has no
+influence on the result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut
 
-#: Distinct keys one ordered range should hold, and the most ranges to cut.
-RANGE_ROWS = 200_000
-MAX_RANGES = 256
-
-
-def _boundaries(counts: DataFrame, order_by: Sequence[str], ranges: int) -> list[tuple]:
-    """Evenly spaced keys out of the 8 x ranges keys with the smallest hashes."""
-    picked = counts.orderBy(F.xxhash64(*order_by), *order_by).limit(ranges * 8).select(*order_by)
-    keys = sorted(tuple(r) for r in picked.collect())
-    return keys[8::8]
-
-
-def _range_id(order_by: Sequence[str], bounds: list[tuple], types: Sequence) -> Column:
-    """Index of the range a key falls into, by a balanced tree of comparisons."""
-    key = F.struct(*order_by)
-
-    def pick(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        at = F.struct(*[F.lit(v).cast(t).alias(c) for v, t, c in zip(bounds[mid], types, order_by)])
-        return F.when(key < at, pick(lo, mid)).otherwise(pick(mid + 1, hi))
-
-    return pick(0, len(bounds))
-
 
 def running_before(
-    counts: DataFrame,
-    order_by: Sequence[str],
-    n: str | None = "n",
-    within: Sequence[str] = (),
-    range_rows: int = RANGE_ROWS,
+    counts: DataFrame, order_by: Sequence[str], n: str | None = "n", within: Sequence[str] = ()
 ) -> DataFrame:
     """Add ``before``: rows that sort ahead of each key, within its group.
 
     ``counts`` holds one row per distinct non-null key with ``n`` rows behind it
-    (``None``: one each).
+    (``None``: one each).  The range number is written with the rows, so both
+    reads below see the same ranges.
     """
     keys = [*within, *order_by]
     weight = F.col(n) if n else F.lit(1)
-    counts = cut(counts, "counts")
-    ranges = min(MAX_RANGES, counts.count() // range_rows + 1)
-    bounds = _boundaries(counts, keys, ranges) if ranges > 1 else []
-    types = [counts.schema[c].dataType for c in keys]
-    ranged = counts.withColumn("_range", _range_id(keys, bounds, types))
+    ranged = cut(counts.repartitionByRange(*keys).withColumn("_range", F.spark_partition_id()), "ranges")
     inside = Window.partitionBy("_range").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.withColumn("before", F.coalesce(F.sum(weight).over(inside), F.lit(0)))
-    if ranges > 1:
-        # at most MAX_RANGES rows, so one ordered task and a broadcast are safe
-        totals = ranged.groupBy("_range").agg(F.sum(weight).alias("_t"))
-        ahead = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-        offsets = totals.select("_range", F.coalesce(F.sum("_t").over(ahead), F.lit(0)).alias("_o"))
-        local = local.join(F.broadcast(offsets), "_range").withColumn("before", F.col("before") + F.col("_o")).drop("_o")
-    local = local.drop("_range")
+    # one row per shuffle partition: one ordered task and a broadcast are safe
+    totals = ranged.groupBy("_range").agg(F.sum(weight).alias("_t"))
+    ahead = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_range", F.coalesce(F.sum("_t").over(ahead), F.lit(0)).alias("_o"))
+    local = local.join(F.broadcast(offsets), "_range").withColumn("before", F.col("before") + F.col("_o")).drop("_o", "_range")
     if within:
         first = local.groupBy(*within).agg(F.min("before").alias("_first"))
         local = local.join(first, list(within)).withColumn("before", F.col("before") - F.col("_first")).drop("_first")

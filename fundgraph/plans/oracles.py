@@ -170,3 +170,192 @@ sql("fee_percentile_by_fund_type", """SELECT ein, total_fees, fund_type, round((
 sql("largest_managers", "SELECT ein, cast(sum(total_fees) AS double) AS total_fees FROM managers GROUP BY ein ORDER BY 2 DESC, 1 LIMIT 10")
 sql("preview_funds", "SELECT ein, plan_name, fund_type, num_participants FROM funds ORDER BY ein LIMIT 5")
 sql("dense_node_index", "SELECT ein, row_number() OVER (ORDER BY ein) - 1 AS idx FROM funds")
+
+# ---- entity resolution
+
+
+def clean(c: str) -> str:
+    x = strip(f"upper({c})")
+    x = f"regexp_replace({x}, '\\b(" + "|".join(LEGAL_WORDS) + ")\\b', '', 'g')"
+    x = strip(f"regexp_replace({x}, '[^A-Z0-9 ]', '', 'g')")
+    return f"regexp_replace({x}, '\\s+', ' ', 'g')"
+
+
+def tokens(c: str) -> str:
+    return f"array_to_string(list_sort(list_filter(string_split_regex({c}, '\\s+'), lambda t: t <> '')), ' ')"
+
+
+def person(c: str) -> str:
+    marks = " OR ".join(f"contains(upper({c}), '{m}')" for m in COMPANY_MARKS)
+    return f"(len(list_filter(string_split_regex({c}, '\\s+'), lambda t: t <> '')) <= 3 AND NOT ({marks}))"
+
+
+FULL = (1 << 62) - 1
+
+
+def masks(name: str, source: str) -> str:
+    """Per name: for each character, the bit set of its positions (names up to 62 characters)."""
+    return f"""{name} AS (SELECT name, map_from_entries(list((ch, m))) AS at FROM (
+      SELECT name, ch, bit_or(1::BIGINT << (pos - 1)) AS m FROM (
+        SELECT name, unnest(string_split(name, '')) AS ch, generate_subscripts(string_split(name, ''), 1) AS pos FROM {source})
+      GROUP BY name, ch) GROUP BY name)"""
+
+
+def ratio(a: str, b: str, at: str) -> str:
+    """200 * LCS / (|a| + |b|): bit-parallel LCS of b against the masks of a."""
+    bits = f"list_transform(string_split({b}, ''), lambda c: coalesce({at}[c], 0::BIGINT))"
+    left = f"list_reduce(list_prepend({FULL}::BIGINT, {bits}), lambda s, m: ((s + (s & m)) | (s & (~m))) & {FULL}::BIGINT)"
+    return f"CASE WHEN {a} = {b} THEN 100.0 WHEN {a} = '' OR {b} = '' THEN 0.0 ELSE 200.0 * (62 - bit_count({left})) / (length({a}) + length({b})) END"
+
+
+PREPARED = f"""prepared AS MATERIALIZED (SELECT *, {tokens('name_clean')} AS sorted_name FROM (
+  SELECT *, {clean('name')} AS name_clean FROM managers WHERE NOT {person('name')}))"""
+
+PAIRS = f"""{PREPARED},
+snames AS (SELECT DISTINCT sorted_name AS name FROM prepared WHERE sorted_name <> ''),
+{masks('masked', 'snames')},
+scored_pairs AS MATERIALIZED (SELECT a.name AS a, b.name AS b, {ratio('a.name', 'b.name', 'a.at')} AS score
+  FROM masked a JOIN snames b ON a.name < b.name
+  WHERE least(length(a.name), length(b.name)) * 23 >= 17 * greatest(length(a.name), length(b.name))),
+similar_p AS MATERIALIZED (SELECT * FROM scored_pairs WHERE score >= 85)"""
+
+
+def greedy(rounds: int = 4) -> str:
+    """Leaders: an EIN no earlier leader covers; decided in unrolled rounds."""
+    parts = [f"""{PAIRS},
+near AS (SELECT a AS x, b AS y FROM similar_p UNION ALL SELECT b, a FROM similar_p UNION ALL SELECT DISTINCT sorted_name, sorted_name FROM prepared),
+firsts AS (SELECT ein, arg_min(sorted_name, name) AS fname FROM prepared GROUP BY ein),
+cover AS MATERIALIZED (SELECT DISTINCT f.ein AS e, p.ein AS f FROM firsts f JOIN near ON near.x = f.fname JOIN prepared p ON p.sorted_name = near.y AND f.ein < p.ein),
+lead0 AS MATERIALIZED (SELECT ein FROM firsts WHERE ein NOT IN (SELECT f FROM cover)),
+led0 AS MATERIALIZED (SELECT DISTINCT f FROM cover WHERE e IN (SELECT ein FROM lead0))"""]
+    for i in range(1, rounds):
+        p = i - 1
+        parts.append(f"""lead{i} AS MATERIALIZED (SELECT ein FROM firsts WHERE ein NOT IN (SELECT f FROM led{p}) AND ein NOT IN (
+  SELECT f FROM cover WHERE e NOT IN (SELECT f FROM led{p}))),
+led{i} AS MATERIALIZED (SELECT DISTINCT f FROM cover WHERE e IN (SELECT ein FROM lead{i}))""")
+    last = rounds - 1
+    parts.append(f"""taken AS (SELECT ein AS f, ein AS e FROM lead{last} UNION ALL SELECT f, e FROM cover WHERE e IN (SELECT ein FROM lead{last})),
+owner AS (SELECT f AS ein, min(e) AS leader FROM taken GROUP BY f),
+numbered AS (SELECT ein AS leader, row_number() OVER (ORDER BY ein) - 1 AS parent_group_id FROM lead{last}),
+grouped AS (SELECT ein, parent_group_id FROM owner JOIN numbered USING (leader)),
+enriched AS (SELECT ein, name, cast(total_fees AS double) AS total_fees, num_clients, name_clean, parent_group_id,
+  count(*) OVER (PARTITION BY parent_group_id) AS group_size,
+  cast(count(*) OVER (PARTITION BY parent_group_id) > 1 AS int) AS same_parent_flag FROM prepared LEFT JOIN grouped USING (ein))""")
+    return ",\n".join(parts)
+
+
+sql("clean_names", f"SELECT name_clean, {tokens('name_clean')} AS sorted_name, lines FROM (SELECT {clean('PROVIDER_OTHER_NAME')} AS name_clean, count(*) AS lines FROM lines GROUP BY ALL)")
+sql("person_names", f"SELECT ein, name, {person('name')} AS is_person FROM managers")
+sql("name_thresholds", f"SELECT CASE WHEN length(trim({clean('name')})) <= 5 THEN 95 ELSE 85 END AS by_length, 85 AS constant, count(*) AS names FROM managers GROUP BY ALL")
+sql("spelling_similarity", f"SELECT ein, name, round({ratio('a', 'b', 'm.at')}, 6) AS score FROM forms LEFT JOIN masked m ON m.name = a",
+    f"""forms AS (SELECT ein, mn AS name, {tokens('cn')} AS a, {tokens('cf')} AS b FROM (
+      SELECT ein, name AS mn, {clean('name')} AS cn, {clean('min(name) OVER (PARTITION BY ein)')} AS cf FROM managers)),
+    anames AS (SELECT DISTINCT a AS name FROM forms), {masks('masked', 'anames')}""")
+SQL["spelling_similarity"] = SQL["spelling_similarity"].replace("SELECT ein, name, round", "SELECT ein, forms.name AS name, round")
+sql("similar_names", "SELECT a, b, round(score, 6) AS score FROM similar_p", PAIRS)
+sql("enriched_managers", "SELECT * FROM enriched", greedy())
+sql("parent_group_sizes", "SELECT parent_group_id, count(*) AS group_size, count(DISTINCT ein) AS distinct_eins FROM enriched GROUP BY ALL", greedy())
+sql("parent_group_summary", "SELECT cast(sum(same_parent_flag) AS bigint) AS flagged, count(DISTINCT parent_group_id) AS groups FROM enriched", greedy())
+
+
+def min_labels(nodes: str, links: str, rounds: int) -> str:
+    """Smallest id reachable, by unrolled rounds over links (x, y) in both directions."""
+    out = [f"c0 AS MATERIALIZED (SELECT id, id AS c FROM ({nodes}))"]
+    for i in range(1, rounds + 1):
+        out.append(f"""c{i} AS MATERIALIZED (SELECT id, min(c) AS c FROM (SELECT id, c FROM c{i - 1}
+  UNION ALL SELECT y, c FROM c{i - 1} JOIN {links} ON x = id) GROUP BY id)""")
+    return ",\n".join(out)
+
+
+sql("name_component_groups", "SELECT substr(id, 3) AS ein, substr(c, 3) AS component FROM c10 WHERE id LIKE 'e:%'", f"""{PAIRS},
+one AS (SELECT DISTINCT 'e:' || ein AS x, 'n:' || sorted_name AS y FROM prepared UNION SELECT 'n:' || a, 'n:' || b FROM similar_p),
+linked AS MATERIALIZED (SELECT x, y FROM one UNION ALL SELECT y, x FROM one),
+{min_labels("SELECT DISTINCT x AS id FROM linked", "linked", 10)}""")
+
+# ---- graph
+
+GRAPH = """fund_n AS (SELECT 'PensionFund:' || ein AS id, 'PensionFund' AS label, ein, plan_name AS name, sponsor_name, fund_type, num_participants, admin_name, state,
+  cast(NULL AS double) AS total_fees, cast(NULL AS bigint) AS num_clients FROM funds),
+mgr_n AS (SELECT 'AssetManager:' || ein AS id, 'AssetManager' AS label, ein, name, cast(NULL AS varchar) AS sponsor_name, cast(NULL AS varchar) AS fund_type,
+  cast(NULL AS bigint) AS num_participants, cast(NULL AS varchar) AS admin_name, cast(NULL AS varchar) AS state, cast(total_fees AS double) AS total_fees, num_clients
+  FROM (SELECT *, row_number() OVER (PARTITION BY ein ORDER BY name DESC) AS rn FROM managers) WHERE rn = 1),
+gnodes AS MATERIALIZED (SELECT * FROM fund_n UNION ALL SELECT * FROM mgr_n),
+last_e AS (SELECT fund_ein, manager_ein, fee_paid FROM (SELECT *, row_number() OVER (PARTITION BY fund_ein, manager_ein
+  ORDER BY ACK_ID DESC NULLS LAST, line_no DESC NULLS LAST, fee_paid DESC NULLS LAST) AS rn FROM edges
+  WHERE fund_ein IN (SELECT ein FROM funds) AND manager_ein IN (SELECT ein FROM managers)) WHERE rn = 1),
+gedges AS MATERIALIZED (SELECT 'PensionFund:' || fund_ein AS src, 'AssetManager:' || manager_ein AS dst, 'ALLOCATED_TO' AS type, cast(fee_paid AS double) AS weight FROM last_e),
+sum_e AS MATERIALIZED (SELECT 'PensionFund:' || fund_ein AS src, 'AssetManager:' || manager_ein AS dst, cast(sum(fee_paid) AS double) AS weight FROM edges
+  WHERE fund_ein IN (SELECT ein FROM funds) AND manager_ein IN (SELECT ein FROM managers) GROUP BY ALL)"""
+
+sql("graph_nodes", "SELECT * FROM gnodes", GRAPH)
+sql("graph_edges", "SELECT * FROM gedges", GRAPH)
+sql("graph_label_counts", "SELECT label, count(*) AS count FROM gnodes GROUP BY ALL", GRAPH)
+sql("project_reverse", "SELECT dst AS src, src AS dst, type, weight FROM gedges", GRAPH)
+sql("induced_manager_subgraph", """SELECT 'nodes' AS "table", count(*) AS rows FROM gnodes WHERE label = 'AssetManager'
+  UNION ALL SELECT 'edges', count(*) FROM gedges WHERE src IN (SELECT id FROM gnodes WHERE label = 'AssetManager')""", GRAPH)
+sql("expand_allocations", "SELECT a.ein AS src_ein, b.ein AS dst_ein, weight FROM gedges JOIN gnodes a ON a.id = src JOIN gnodes b ON b.id = dst", GRAPH)
+sql("undirected_edges", "SELECT fund_ein, manager_ein, 'forward' AS rel FROM fees UNION ALL SELECT manager_ein, fund_ein, 'reverse' FROM fees")
+
+
+def rank_rounds(links: str, rounds: int = 20) -> str:
+    out = [f"""w_out AS (SELECT src, sum(w) AS o FROM {links} GROUP BY src),
+share AS MATERIALIZED (SELECT l.src, l.dst, w / o AS s FROM {links} l JOIN w_out USING (src)),
+r0 AS (SELECT id, 0.15::double AS pr FROM gnodes)"""]
+    for i in range(1, rounds + 1):
+        out.append(f"""r{i} AS MATERIALIZED (SELECT id, 0.15 + 0.85 * coalesce(c, 0.0) AS pr FROM gnodes LEFT JOIN (
+  SELECT dst, sum(pr * s) AS c FROM r{i - 1} JOIN share ON src = id GROUP BY dst) ON dst = id)""")
+    return ",\n".join(out)
+
+
+def both_ways(table: str, w: str) -> str:
+    return f"""links AS (SELECT * FROM (SELECT src, dst, {w} AS w FROM {table} UNION ALL SELECT dst, src, {w} FROM {table}) WHERE w > 0)"""
+
+
+RANK = "SELECT id, round(pr, 5) AS pagerank_score FROM r20"
+sql("pagerank_unweighted", RANK, f"{GRAPH}, {both_ways('gedges', '1.0::double')}, {rank_rounds('links')}")
+sql("pagerank_by_fees", RANK, f"{GRAPH}, {both_ways('sum_e', 'coalesce(weight, 0.0)')}, {rank_rounds('links')}")
+sql("pagerank_managers_only", "SELECT id, 0.15::double AS pagerank_score FROM gnodes WHERE label = 'AssetManager'", GRAPH)
+sql("connected_components", "SELECT id, c AS component FROM c14", f"""{GRAPH},
+linked AS MATERIALIZED (SELECT src AS x, dst AS y FROM gedges UNION ALL SELECT dst, src FROM gedges), {min_labels("SELECT id FROM gnodes", "linked", 14)}""")
+sql("circular_payments", """SELECT id, component, cast(count(*) OVER (PARTITION BY component) > 1 AS int) AS in_circular_pattern FROM (
+  SELECT id, coalesce(max(r.t), id) AS component FROM ids LEFT JOIN (SELECT f.s, f.t FROM reach f JOIN reach b ON f.s = b.t AND f.t = b.s) r ON r.s = id GROUP BY id)""",
+    """pay AS (SELECT DISTINCT cast(o_custkey AS varchar) AS src, cast(l_partkey AS varchar) AS dst FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+ids AS (SELECT src AS id FROM pay UNION SELECT dst FROM pay),
+loops AS MATERIALIZED (SELECT src, dst FROM pay WHERE src <> dst AND src IN (SELECT dst FROM pay) AND dst IN (SELECT src FROM pay)),
+reach AS (SELECT src AS s, dst AS t FROM loops UNION SELECT s, dst FROM reach JOIN loops ON t = src)""", recursive=True)
+sql("circular_flag_by_label", "SELECT 0 AS in_circular_pattern, count(*) AS nodes FROM gnodes", GRAPH)
+
+
+def brandes(nodes: str, k: int, depth: int) -> str:
+    out = [f"""bc_e AS MATERIALIZED (SELECT src AS u, dst AS v FROM bc_src UNION SELECT dst, src FROM bc_src),
+pivot AS MATERIALIZED (SELECT id FROM {nodes} ORDER BY md5(id), id LIMIT {k}),
+l0 AS MATERIALIZED (SELECT id AS source, id AS node, 1.0::double AS paths FROM pivot)"""]
+    for i in range(1, depth + 1):
+        seen = " ".join(f"ANTI JOIN l{j} s{j} ON s{j}.source = t.source AND s{j}.node = t.node" for j in range(max(0, i - 2), i))
+        out.append(f"""l{i} AS MATERIALIZED (SELECT t.* FROM (SELECT source, v AS node, sum(paths) AS paths FROM l{i - 1} JOIN bc_e ON u = node GROUP BY ALL) t {seen})""")
+    out.append(f"d{depth} AS MATERIALIZED (SELECT *, 0.0::double AS delta FROM l{depth})")
+    for i in range(depth - 1, -1, -1):
+        out.append(f"""d{i} AS MATERIALIZED (SELECT l.source, l.node, l.paths, coalesce(l.paths * c, 0.0) AS delta FROM l{i} l LEFT JOIN (
+  SELECT source, v AS node, sum((1 + delta) / paths) AS c FROM d{i + 1} JOIN bc_e ON u = node GROUP BY ALL) x ON x.source = l.source AND x.node = l.node)""")
+    union = " UNION ALL ".join(f"SELECT node, delta FROM d{i} WHERE source <> node" for i in range(depth + 1))
+    out.append(f"bc AS (SELECT node, sum(delta) AS delta FROM ({union}) GROUP BY node)")
+    return ",\n".join(out)
+
+
+def bc_select(nodes: str, k: int) -> str:
+    return f"SELECT id, round(coalesce(delta, 0.0) * 0.5 * (SELECT count(*) FROM {nodes}) / {k}.0, 2) AS betweenness_score FROM {nodes} LEFT JOIN bc ON node = id"
+
+
+sql("betweenness_sampled", bc_select("gnodes", 16), f"{GRAPH}, bc_src AS (SELECT src, dst FROM gedges), {brandes('gnodes', 16, 12)}")
+SHARED_EDGES = """sh AS MATERIALIZED (SELECT 'PensionFund:' || fund_a AS src, 'PensionFund:' || fund_b AS dst, shared_managers AS w FROM shares WHERE fund_a < fund_b),
+fnodes AS MATERIALIZED (SELECT 'PensionFund:' || ein AS id, fund_type FROM funds)"""
+sql("betweenness_funds_sampled", bc_select("fnodes", 4), f"{SHARED_EDGES}, bc_src AS (SELECT src, dst FROM sh), {brandes('fnodes', 4, 8)}")
+sql("similar_portfolios", """SELECT src, dst, round(similarity_score, 6) AS similarity_score FROM (
+  SELECT *, row_number() OVER (PARTITION BY src ORDER BY similarity_score DESC, dst) AS rn FROM (
+    SELECT a.src, b.src AS dst, count(*) / (any_value(a.n) + any_value(b.n) - count(*)) AS similarity_score
+    FROM sized a JOIN sized b ON a.m = b.m AND a.src <> b.src GROUP BY a.src, b.src) WHERE similarity_score >= 0.5) WHERE rn <= 5""",
+    f"""sets AS (SELECT DISTINCT ACK_ID AS src, {ein('PROVIDER_OTHER_EIN')} AS m FROM lines WHERE PROVIDER_OTHER_EIN IS NOT NULL),
+sized AS MATERIALIZED (SELECT *, count(*) OVER (PARTITION BY src) AS n FROM sets)""")
+sql("modularity_by_fund_type", """SELECT round(sum(inside) / sum(tot) - sum(tot * tot) / (sum(tot) * sum(tot)), 8) AS modularity FROM (
+  SELECT a.fund_type AS c, sum(w)::double AS tot, coalesce(sum(w) FILTER (WHERE a.fund_type = b.fund_type), 0)::double AS inside
+  FROM (SELECT src, dst, w FROM sh UNION ALL SELECT dst, src, w FROM sh) e JOIN fnodes a ON a.id = e.src JOIN fnodes b ON b.id = e.dst GROUP BY a.fund_type)""", SHARED_EDGES)

@@ -10,10 +10,17 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..functions import names as N
 from ..operators import aggregates as A
+from ..operators import betweenness as BC
+from ..operators import components as CC
+from ..operators import entity as E
+from ..operators import graph as G
+from ..operators import louvain as LV
+from ..operators import pagerank as PR
 from ..operators import pairs as P
 from ..operators import ranking as W
 from ..operators import relational as R
 from ..operators import risk as X
+from ..operators import similarity as SIM
 from ..session import scratch_path
 from ..sources import star, tables
 from . import ingest as I
@@ -397,3 +404,198 @@ def preview_funds(spark, d):
 @query
 def dense_node_index(spark, d):
     return W.dense_index(funds(spark, d).select("ein"), ["ein"])
+
+
+# ---- entity resolution
+
+
+def prepared(spark: SparkSession, d: str) -> DataFrame:
+    return E.prepare_managers(managers(spark, d))
+
+
+@query
+def clean_names(spark, d):
+    li = star.provider_lines(spark, d)
+    n = N.clean_name("PROVIDER_OTHER_NAME")
+    return li.groupBy(n.alias("name_clean"), N.token_sort(n).alias("sorted_name")).agg(F.count("*").alias("lines"))
+
+
+@query
+def person_names(spark, d):
+    return managers(spark, d).select("ein", "name", N.is_person("name").alias("is_person"))
+
+
+@query
+def name_thresholds(spark, d):
+    m = managers(spark, d)
+    return m.groupBy(N.threshold(N.clean_name("name"), True).alias("by_length"), N.threshold("name").alias("constant")).agg(F.count("*").alias("names"))
+
+
+@query
+def spelling_similarity(spark, d):
+    """Similarity of every spelling with the first spelling of the same EIN."""
+    m = managers(spark, d).select("ein", "name")
+    first = m.groupBy("ein").agg(F.min("name").alias("first_name"))
+    score = N.token_sort_ratio(N.clean_name("name"), N.clean_name("first_name"))
+    return m.join(first, "ein").select("ein", "name", F.round(score, 6).alias("score"))
+
+
+@query
+def similar_names(spark, d):
+    return E.similar_pairs(prepared(spark, d)).withColumns(rnd(6, "score"))
+
+
+@query
+def enriched_managers(spark, d):
+    return E.enrich_managers(managers(spark, d)).withColumns(dbl("total_fees")).drop("is_person")
+
+
+@query
+def parent_group_sizes(spark, d):
+    return A.group_sizes(E.enrich_managers(managers(spark, d)))
+
+
+@query
+def parent_group_summary(spark, d):
+    return A.group_summary(E.enrich_managers(managers(spark, d)))
+
+
+@query
+def name_component_groups(spark, d):
+    rows = prepared(spark, d)
+    return E.component_groups(rows, E.similar_pairs(rows))
+
+
+# ---- graph
+
+
+def graph(spark: SparkSession, d: str, fees: str = "last") -> G.Graph:
+    e = edges(spark, d, ("ACK_ID", "line_no"))
+    return G.build_graph(funds(spark, d), managers(spark, d), e, None, ("ACK_ID", "line_no", "fee_paid"), fees)
+
+
+def shared_graph(spark: SparkSession, d: str) -> G.Graph:
+    """Funds and their shared-manager edges, one canonical row per pair."""
+    e = edges(spark, d)
+    nodes = funds(spark, d).select(G.node_id(G.FUND, "ein").alias("id"), F.lit(G.FUND).alias("label"), "ein")
+    ff = P.shared_manager_counts(e).select(
+        G.node_id(G.FUND, "fund_a").alias("src"), G.node_id(G.FUND, "fund_b").alias("dst"),
+        F.lit(G.SHARES).alias("type"), F.col("shared_managers").cast("double").alias("weight"),
+    )
+    return G.Graph(nodes, ff)
+
+
+@query
+def graph_nodes(spark, d):
+    return graph(spark, d).nodes
+
+
+@query
+def graph_edges(spark, d):
+    return graph(spark, d).edges
+
+
+@query
+def graph_label_counts(spark, d):
+    return A.label_counts(graph(spark, d).nodes)
+
+
+@query
+def project_reverse(spark, d):
+    return G.project(graph(spark, d), [G.FUND, G.MANAGER], {G.ALLOCATED: "REVERSE"}).edges
+
+
+@query
+def induced_manager_subgraph(spark, d):
+    """Managers only: no payment edge keeps both ends."""
+    sub = G.induced(graph(spark, d), [G.MANAGER], [G.ALLOCATED])
+    return A.table_counts({"nodes": sub.nodes, "edges": sub.edges})
+
+
+@query
+def expand_allocations(spark, d):
+    return G.expand(graph(spark, d), G.FUND, G.ALLOCATED, G.MANAGER).select("src_ein", "dst_ein", "weight")
+
+
+@query
+def undirected_edges(spark, d):
+    e = R.distinct_pairs(edges(spark, d))
+    return R.to_undirected(e, "fund_ein", "manager_ein", rel="rel")
+
+
+@query
+def pagerank_unweighted(spark, d):
+    g = G.project(graph(spark, d), [G.FUND, G.MANAGER], {G.ALLOCATED: "UNDIRECTED"})
+    return PR.pagerank(g.nodes, g.edges).withColumns(rnd(5, "pagerank_score"))
+
+
+@query
+def pagerank_by_fees(spark, d):
+    g = G.project(graph(spark, d, "sum"), [G.FUND, G.MANAGER], {G.ALLOCATED: "UNDIRECTED"})
+    return PR.pagerank(g.nodes, g.edges, "weight").withColumns(rnd(5, "pagerank_score"))
+
+
+@query
+def pagerank_managers_only(spark, d):
+    """The induced manager graph has no edges, so every score is 1 - damping."""
+    g = G.induced(graph(spark, d), [G.MANAGER])
+    return PR.pagerank(g.nodes, g.edges).withColumns(rnd(5, "pagerank_score"))
+
+
+@query
+def connected_components(spark, d):
+    g = graph(spark, d)
+    return CC.connected_components(g.edges, g.nodes)
+
+
+@query
+def circular_payments(spark, d):
+    """Strong components of who-pays-whom with sponsors and providers in one id space."""
+    return CC.circular_flag(CC.strongly_connected_components(star.entity_payments(spark, d)))
+
+
+@query
+def circular_flag_by_label(spark, d):
+    """Payments only lead from funds to managers, so the labelled graph has no cycle."""
+    g = graph(spark, d)
+    flags = CC.circular_flag(CC.strongly_connected_components(g.edges, g.nodes))
+    return flags.groupBy("in_circular_pattern").agg(F.count("*").alias("nodes"))
+
+
+@query
+def betweenness_sampled(spark, d):
+    g = graph(spark, d)
+    return BC.betweenness(g.nodes, g.edges, sample=16).withColumns(rnd(2, "betweenness_score"))
+
+
+@query
+def betweenness_funds_sampled(spark, d):
+    g = shared_graph(spark, d)
+    return BC.betweenness(g.nodes, g.edges, sample=4).withColumns(rnd(2, "betweenness_score"))
+
+
+@query
+def similar_portfolios(spark, d):
+    """Filings that pay much the same providers."""
+    li = star.provider_lines(spark, d)
+    sets = li.select(F.col("ACK_ID").alias("src"), C.normalize_ein("PROVIDER_OTHER_EIN").alias("dst")).dropna()
+    return SIM.node_similarity(sets).withColumns(rnd(6, "similarity_score"))
+
+
+@query
+def louvain_communities(spark, d):
+    g = graph(spark, d)
+    return LV.louvain(g.nodes, g.edges)
+
+
+@query
+def louvain_fund_communities(spark, d):
+    g = shared_graph(spark, d)
+    return LV.louvain(g.nodes, g.edges, "weight")
+
+
+@query
+def modularity_by_fund_type(spark, d):
+    g = shared_graph(spark, d)
+    c = funds(spark, d).select(G.node_id(G.FUND, "ein").alias("id"), F.col("fund_type").alias("community_id"))
+    return LV.modularity(g.edges, c, "weight").withColumns(rnd(8, "modularity"))
