@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -57,6 +59,15 @@ def _chars(c: Column) -> Column:
     return F.filter(F.split(c, ""), lambda x: x != "")
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and use it many times inside lambdas.
+
+    A lambda body evaluates what it captures for every element; a bound variable
+    is evaluated once.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def lcs_length(a: Column | str, b: Column | str) -> Column:
     """Longest common subsequence by the bit-parallel recurrence, for any length.
 
@@ -65,56 +76,56 @@ def lcs_length(a: Column | str, b: Column | str) -> Column:
     a carry so nothing overflows a BIGINT.
     """
     a, b = _col(a), _col(b)
-    ca = _chars(a)
-    symbols = F.array_distinct(ca)
     full = F.lit((1 << WORD_BITS) - 1).cast("bigint")
     zero = F.lit(0).cast("bigint")
+    one = F.lit(1).cast("bigint")
 
-    def mask(sym: Column, lo: Column) -> Column:
-        part = F.slice(ca, lo * WORD_BITS + 1, WORD_BITS)
-        bits = F.transform(part, lambda x, i: F.when(x == sym, F.call_function("shiftleft", F.lit(1).cast("bigint"), i)).otherwise(zero))
+    def mask(chars: Column, sym: Column) -> Column:
+        bits = F.transform(chars, lambda x, i: F.when(x == sym, F.call_function("shiftleft", one, i)).otherwise(zero))
         return F.aggregate(bits, zero, lambda s, v: s.bitwiseOR(v))
 
-    def step(s: Column, m: Column, carry: Column) -> Column:
-        return s + s.bitwiseAND(m) + carry
+    def update(s: Column, m: Column, carry: Column) -> tuple[Column, Column]:
+        total = s + s.bitwiseAND(m) + carry
+        return total, total.bitwiseAND(full).bitwiseOR(s.bitwiseAND(F.bitwise_not(m)))
 
-    # one word: plain BIGINT state
-    one = F.transform(symbols, lambda sym: mask(sym, F.lit(0)))
+    def table(chars: Column) -> Column:
+        """Distinct characters of a and their position masks."""
+        syms = F.array_distinct(chars)
+        return F.struct(syms.alias("syms"), F.transform(syms, lambda c: mask(chars, c)).alias("masks"))
 
-    def fold1(s: Column, ch: Column) -> Column:
-        at = F.array_position(symbols, ch).cast("int")
-        m = F.coalesce(F.get(one, at - 1), zero)
-        return step(s, m, zero).bitwiseAND(full).bitwiseOR(s.bitwiseAND(F.bitwise_not(m)))
+    def short(t: Column) -> Column:
+        def fold(s: Column, ch: Column) -> Column:
+            at = F.array_position(t["syms"], ch).cast("int")
+            return update(s, F.coalesce(F.get(t["masks"], at - 1), zero), zero)[1]
 
-    left1 = F.aggregate(_chars(b), full, fold1)
-    used = F.length(a)
-    # unmatched bits above the end of a stay 1, so zeros count the matches
-    short = F.lit(WORD_BITS) - F.bit_count(left1)
+        # positions beyond the end of a stay 1, so the zeros count the matches
+        return F.lit(WORD_BITS) - F.bit_count(F.aggregate(_chars(b), full, fold))
 
-    words = F.sequence(F.lit(0), F.floor((used - 1) / WORD_BITS).cast("int"))
-    many = F.transform(symbols, lambda sym: F.transform(words, lambda w: mask(sym, w)))
-    start = F.transform(words, lambda w: full)
-    none = F.transform(words, lambda w: zero)
+    def long(parts: Column) -> Column:
+        """parts: the position masks of each 62-character piece of a."""
 
-    def fold(state: Column, ch: Column) -> Column:
-        at = F.array_position(symbols, ch).cast("int")
-        ms = F.coalesce(F.get(many, at - 1), none)
-        init = F.struct(F.array().cast("array<bigint>").alias("out"), zero.alias("carry"))
+        def fold(state: Column, ch: Column) -> Column:
+            init = F.struct(F.array().cast("array<bigint>").alias("out"), zero.alias("carry"))
 
-        def word(acc: Column, w: Column) -> Column:
-            s, m = F.get(state, w), F.get(ms, w)
-            total = step(s, m, acc["carry"])
-            new = total.bitwiseAND(full).bitwiseOR(s.bitwiseAND(F.bitwise_not(m)))
-            return F.struct(
-                F.concat(acc["out"], F.array(new)).alias("out"),
-                F.call_function("shiftright", total, F.lit(WORD_BITS)).alias("carry"),
-            )
+            def word(acc: Column, t: Column) -> Column:
+                at = F.array_position(t["syms"], ch).cast("int")
+                s = F.get(state, F.size(acc["out"]))
+                total, new = update(s, F.coalesce(F.get(t["masks"], at - 1), zero), acc["carry"])
+                carry = F.call_function("shiftright", total, F.lit(WORD_BITS))
+                return F.struct(F.concat(acc["out"], F.array(new)).alias("out"), carry.alias("carry"))
 
-        return F.aggregate(words, init, word, lambda acc: acc["out"])
+            return F.aggregate(parts, init, word, lambda acc: acc["out"])
 
-    left = F.aggregate(_chars(b), start, fold)
-    long = F.aggregate(left, F.lit(0), lambda n, w: n + F.lit(WORD_BITS) - F.bit_count(w))
-    return F.when(used == 0, F.lit(0)).when(used <= WORD_BITS, short).otherwise(long)
+        left = F.aggregate(_chars(b), F.transform(parts, lambda t: full), fold)
+        return F.aggregate(left, F.lit(0), lambda n, w: n + F.lit(WORD_BITS) - F.bit_count(w))
+
+    starts = F.sequence(F.lit(1), F.length(a), F.lit(WORD_BITS))
+    pieces = F.transform(starts, lambda i: table(_chars(F.substr(a, i, F.lit(WORD_BITS)))))
+    return (
+        F.when((F.length(a) == 0) | (F.length(b) == 0), F.lit(0))
+        .when(F.length(a) <= WORD_BITS, _let(_chars(a), lambda ca: _let(table(ca), short)))
+        .otherwise(_let(pieces, long))
+    )
 
 
 def sorted_ratio(a: Column | str, b: Column | str) -> Column:
@@ -128,5 +139,17 @@ def sorted_ratio(a: Column | str, b: Column | str) -> Column:
     )
 
 
+def sorted_ratio_at_least(a: Column | str, b: Column | str, threshold: float) -> Column:
+    """The ratio where it reaches the threshold, else null.
+
+    The built-in edit distance never exceeds the Indel distance, so it settles
+    most pairs before the longer computation.
+    """
+    a, b = _col(a), _col(b)
+    room = F.floor((F.length(a) + F.length(b)) * (1 - threshold / 100.0) + 1e-9)
+    score = F.when(F.levenshtein(a, b) <= room, sorted_ratio(a, b))
+    return F.when(score >= threshold, score)
+
+
 def token_sort_ratio(a: Column | str, b: Column | str) -> Column:
     return sorted_ratio(token_sort(a), token_sort(b))

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.names import clean_name, is_person, sorted_ratio, token_sort
+from ..functions.names import clean_name, is_person, sorted_ratio_at_least, token_sort
 from ..session import cut, discard
 from .pairs import shared_key_pairs
 from .ranking import dense_index
@@ -95,8 +95,8 @@ def similar_names(names: DataFrame, col: str = "name", threshold: float = 85) ->
     distinct = cut(distinct.withColumn("len", F.length("name")), "names")
     parts = [_candidates(distinct, q, bounds) for q in GRAM_SIZES if bounds.sums(q)[0] < bounds.sums(q)[1]]
     # a pair has one length sum, so the parts do not overlap
-    scored = reduce(DataFrame.union, parts).withColumn("score", sorted_ratio("a", "b"))
-    return scored.filter(F.col("score") >= threshold)
+    scored = reduce(DataFrame.union, parts).withColumn("score", sorted_ratio_at_least("a", "b", threshold))
+    return cut(scored, "pairs").filter("score is not null")
 
 
 def similar_pairs(managers: DataFrame, threshold: float = 85) -> DataFrame:

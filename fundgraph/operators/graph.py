@@ -13,7 +13,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .relational import keep_last, valid_edges
+from .relational import keep_last, swap, to_undirected, valid_edges
 
 FUND, MANAGER = "PensionFund", "AssetManager"
 ALLOCATED, SHARES = "ALLOCATED_TO", "SHARES_MANAGER_WITH"
@@ -85,18 +85,14 @@ def project(g: Graph, labels: Sequence[str], rels: dict[str, str]) -> Graph:
     for rel, orientation in rels.items():
         e = g.edges.filter(F.col("type") == rel)
         if orientation == "REVERSE":
-            parts.append(reverse(e))
+            parts.append(swap(e))
         elif orientation == "UNDIRECTED":
-            parts.append(e.unionByName(reverse(e)))
+            parts.append(to_undirected(e))
         else:
             parts.append(e)
     return induced(Graph(g.nodes, reduce(DataFrame.unionByName, parts)), labels)
 
 
-def reverse(edges: DataFrame) -> DataFrame:
-    return edges.withColumnsRenamed({"src": "dst", "dst": "src"})
-
-
 def induced(g: Graph, labels: Sequence[str], types: Sequence[str] | None = None) -> Graph:
     """Sub-graph of some labels and types; edges keep only if both ends remain."""
     nodes = g.nodes.filter(F.col("label").isin(*labels))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -29,7 +30,7 @@ def rename_cols(df: DataFrame, names: Sequence[str] | Mapping[str, str]) -> Data
 
 
 def require(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.dropna(subset=list(cols))
+    return df.filter(reduce(operator.and_, [F.col(c).isNotNull() for c in cols]))
 
 
 def rejected_eins(df: DataFrame, col: str) -> DataFrame:
@@ -154,9 +155,15 @@ def valid_edges(
     return edges.join(a, src, "left_semi").join(b, dst, "left_semi").select(*edges.columns)
 
 
+def swap(edges: DataFrame, a: str = "src", b: str = "dst") -> DataFrame:
+    """Exchange the values of two columns."""
+    names = {a: b, b: a}
+    return edges.select(*[F.col(names.get(c, c)).alias(c) for c in edges.columns])
+
+
 def to_undirected(edges: DataFrame, src: str = "src", dst: str = "dst", rel: str | None = None) -> DataFrame:
     """Both directions of every edge; ``rel`` adds a column naming the direction."""
-    back = edges.withColumnsRenamed({src: dst, dst: src})
+    back = swap(edges, src, dst)
     if rel:
         edges = edges.withColumn(rel, F.lit("forward"))
         back = back.withColumn(rel, F.lit("reverse"))

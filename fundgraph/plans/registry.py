@@ -46,12 +46,12 @@ def rnd(digits: int, *cols: str) -> dict:
 # ---- inputs shared by the queries
 
 
-def lines_and_filings(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    return star.provider_lines(spark, d), star.filings(spark, d)
+def lines_and_filings(spark: SparkSession, d: str, named: bool = False) -> tuple[DataFrame, DataFrame]:
+    return star.provider_lines(spark, d, named), star.filings(spark, d)
 
 
-def edges(spark: SparkSession, d: str, extra: tuple[str, ...] = ()) -> DataFrame:
-    return I.fund_manager_edges(*lines_and_filings(spark, d), extra)
+def edges(spark: SparkSession, d: str, extra: tuple[str, ...] = (), named: bool = False) -> DataFrame:
+    return I.fund_manager_edges(*lines_and_filings(spark, d, named), extra)
 
 
 def funds(spark: SparkSession, d: str) -> DataFrame:
@@ -59,7 +59,7 @@ def funds(spark: SparkSession, d: str) -> DataFrame:
 
 
 def managers(spark: SparkSession, d: str) -> DataFrame:
-    return A.manager_nodes(I.payments(star.provider_lines(spark, d)))
+    return A.manager_nodes(I.payments(star.provider_lines(spark, d, named=True)))
 
 
 def labelled(spark: SparkSession, d: str) -> DataFrame:
@@ -91,7 +91,7 @@ def read_filings_csv(spark, d):
 
 @query
 def read_provider_lines_csv(spark, d):
-    out = _round_trip(star.provider_lines(spark, d), lambda p: tables.read_provider_lines(spark, p))
+    out = _round_trip(star.provider_lines(spark, d, named=True), lambda p: tables.read_provider_lines(spark, p))
     return out.withColumns(dbl("PROVIDER_OTHER_DIRECT_COMP_AMT"))
 
 
@@ -173,13 +173,13 @@ def keep_last_payment(spark, d):
 
 @query
 def normalize_names(spark, d):
-    li = star.provider_lines(spark, d)
+    li = star.provider_lines(spark, d, named=True)
     return li.groupBy(C.norm_name("PROVIDER_OTHER_NAME").alias("name")).agg(F.count("*").alias("lines"))
 
 
 @query
 def fund_manager_edges(spark, d):
-    return edges(spark, d).withColumns(dbl("fee_paid"))
+    return edges(spark, d, named=True).withColumns(dbl("fee_paid"))
 
 
 @query
@@ -189,7 +189,7 @@ def distinct_fund_manager_pairs(spark, d):
 
 @query
 def number_coercion(spark, d):
-    li = star.provider_lines(spark, d)
+    li = star.provider_lines(spark, d, named=True)
     return li.select(
         "ACK_ID", C.as_key("line_no").alias("line_key"),
         C.to_num("PROVIDER_OTHER_EIN", 0).alias("ein_number"),
@@ -415,7 +415,7 @@ def prepared(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def clean_names(spark, d):
-    li = star.provider_lines(spark, d)
+    li = star.provider_lines(spark, d, named=True)
     n = N.clean_name("PROVIDER_OTHER_NAME")
     return li.groupBy(n.alias("name_clean"), N.token_sort(n).alias("sorted_name")).agg(F.count("*").alias("lines"))
 

@@ -56,10 +56,18 @@ def filings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").selectExpr(*FILING_SELECT)
 
 
-def provider_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    x = HASH_NAME.format(div="l_partkey div 3")
-    li = table(spark, sf_dir, "lineitem").selectExpr("*", f"substr({x}, 1, 8) AS u", f"substr({x}, 9, 7) AS v")
-    return li.selectExpr(*LINE_SELECT)
+def provider_lines(spark: SparkSession, sf_dir: str, named: bool = False) -> DataFrame:
+    """Payment lines; ``named`` adds the provider's name from the provider table.
+
+    Names are hashed once per provider and joined (Spark broadcasts the provider
+    table when it is small); jobs that need no name skip the join.
+    """
+    li = table(spark, sf_dir, "lineitem")
+    if not named:
+        return li.selectExpr("CAST(NULL AS string) AS PROVIDER_OTHER_NAME", *[e for e in LINE_SELECT if "PROVIDER_OTHER_NAME" not in e])
+    x = HASH_NAME.format(div="p_partkey div 3")
+    base = table(spark, sf_dir, "part").selectExpr("p_partkey AS l_partkey", f"substr({x}, 1, 8) AS u", f"substr({x}, 9, 7) AS v")
+    return li.join(base, "l_partkey").selectExpr(*LINE_SELECT)
 
 
 def manager_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
