@@ -13,6 +13,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut
+from .ranking import dense_index
 from .relational import keep_last, swap, to_undirected, valid_edges
 
 FUND, MANAGER = "PensionFund", "AssetManager"
@@ -135,6 +137,21 @@ def _export(nodes: DataFrame, label: str, cols: dict[str, str]) -> DataFrame:
     )
 
 
+def encode(nodes: DataFrame | None, edges: DataFrame, *extra: str) -> tuple[DataFrame, DataFrame]:
+    """Replace string ids by dense numbers in id order, for the iterative operators.
+
+    Returns (id, n) and the edges with src, dst as numbers: shuffles and joins of
+    every round then move 8 bytes instead of a text.
+    """
+    raw = cut(edges.select("src", "dst", *extra), "raw")
+    ids = raw.select(F.col("src").alias("id")).union(raw.select("dst"))
+    ids = (ids if nodes is None else ids.union(nodes.select("id"))).distinct()
+    names = cut(dense_index(ids, ["id"], "n"), "names")
+    a, b = names.select(F.col("id").alias("src"), F.col("n").alias("_s")), names.select(F.col("id").alias("dst"), F.col("n").alias("_d"))
+    coded = raw.join(a, "src").join(b, "dst").select(F.col("_s").alias("src"), F.col("_d").alias("dst"), *extra)
+    return names, coded
+
+
 def split_hubs(edges: DataFrame, key: str, other: str, hub_rows: int = HUB_ROWS) -> tuple[DataFrame, DataFrame]:
     """Number the edges of a node with more than ``hub_rows`` edges into several salts.
 

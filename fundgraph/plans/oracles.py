@@ -328,8 +328,8 @@ sql("circular_flag_by_label", "SELECT 0 AS in_circular_pattern, count(*) AS node
 
 def brandes(nodes: str, k: int, depth: int) -> str:
     out = [f"""bc_e AS MATERIALIZED (SELECT src AS u, dst AS v FROM bc_src UNION SELECT dst, src FROM bc_src),
-pivot AS MATERIALIZED (SELECT id FROM {nodes} ORDER BY md5(id), id LIMIT {k}),
-l0 AS MATERIALIZED (SELECT id AS source, id AS node, 1.0::double AS paths FROM pivot)"""]
+pivots AS MATERIALIZED (SELECT id FROM {nodes} ORDER BY md5(id), id LIMIT {k}),
+l0 AS MATERIALIZED (SELECT id AS source, id AS node, 1.0::double AS paths FROM pivots)"""]
     for i in range(1, depth + 1):
         seen = " ".join(f"ANTI JOIN l{j} s{j} ON s{j}.source = t.source AND s{j}.node = t.node" for j in range(max(0, i - 2), i))
         out.append(f"""l{i} AS MATERIALIZED (SELECT t.* FROM (SELECT source, v AS node, sum(paths) AS paths FROM l{i - 1} JOIN bc_e ON u = node GROUP BY ALL) t {seen})""")
