@@ -343,7 +343,7 @@ l0 AS MATERIALIZED (SELECT id AS source, id AS node, 1.0::double AS paths FROM p
 
 
 def bc_select(nodes: str, k: int) -> str:
-    return f"SELECT id, round(coalesce(delta, 0.0) * 0.5 * (SELECT count(*) FROM {nodes}) / {k}.0, 2) AS betweenness_score FROM {nodes} LEFT JOIN bc ON node = id"
+    return f"SELECT id, round(coalesce(delta, 0.0) * 0.5 * (SELECT count(*) FROM {nodes}) / {k}.0 + 1e-5, 2) AS betweenness_score FROM {nodes} LEFT JOIN bc ON node = id"
 
 
 sql("betweenness_sampled", bc_select("gnodes", 16), f"{GRAPH}, bc_src AS (SELECT src, dst FROM gedges), {brandes('gnodes', 16, 12)}")
@@ -359,3 +359,51 @@ sized AS MATERIALIZED (SELECT *, count(*) OVER (PARTITION BY src) AS n FROM sets
 sql("modularity_by_fund_type", """SELECT round(sum(inside) / sum(tot) - sum(tot * tot) / (sum(tot) * sum(tot)), 8) AS modularity FROM (
   SELECT a.fund_type AS c, sum(w)::double AS tot, coalesce(sum(w) FILTER (WHERE a.fund_type = b.fund_type), 0)::double AS inside
   FROM (SELECT src, dst, w FROM sh UNION ALL SELECT dst, src, w FROM sh) e JOIN fnodes a ON a.id = e.src JOIN fnodes b ON b.id = e.dst GROUP BY a.fund_type)""", SHARED_EDGES)
+
+# ---- features, split, metrics
+
+FUND_X = """fund_x AS (SELECT ein, label, num_managers::double AS num_managers, top_manager_concentration, fee_percentile,
+  least(1e6, total_shared_managers::double) AS total_shared_managers, community_concentration, same_parent_fee_ratio, betweenness_score,
+  in_circular_pattern::double AS in_circular_pattern FROM training)"""
+FUND_COLS = ("num_managers", "top_manager_concentration", "fee_percentile", "total_shared_managers", "community_concentration",
+             "same_parent_fee_ratio", "betweenness_score", "in_circular_pattern")
+MANAGER_X = """manager_x AS (SELECT m.ein, m.name, m.num_clients::double AS num_clients, cast(m.total_fees AS double) AS total_fees,
+  coalesce(same_parent_flag, 0)::double AS same_parent_flag, (count(*) OVER (PARTITION BY m.ein))::double AS group_size,
+  coalesce(CASE WHEN p_size <= 45 THEN p_size / 100.0 END, 0.15)::double AS pagerank_score
+  FROM managers m LEFT JOIN attrs ON m.ein = manager_ein LEFT JOIN part ON m.ein = cast(p_partkey AS varchar))"""
+sql("fund_feature_matrix", "SELECT ein, label, " + ", ".join(f"round({c}, 6) AS {c}" for c in FUND_COLS) + " FROM fund_x", FUND_X)
+sql("manager_feature_matrix", """SELECT ein, name, num_clients, round(total_fees, 6) AS total_fees, same_parent_flag, group_size,
+  round(pagerank_score, 6) AS pagerank_score FROM manager_x""", MANAGER_X)
+sql("standardized_fund_features", "SELECT ein, label, " + ", ".join(
+    f"round(({c} - avg({c}) OVER ()) / (CASE WHEN stddev_pop({c}) OVER () = 0 THEN 1 ELSE stddev_pop({c}) OVER () END), 5) AS {c}" for c in FUND_COLS) + " FROM fund_x", FUND_X)
+sql("stratified_split", """SELECT ein, label, CASE WHEN rn <= t THEN 'test' WHEN rn <= t + round((n - t) * 0.15) THEN 'val' ELSE 'train' END AS split FROM (
+  SELECT *, round(n * 0.2) AS t FROM (SELECT ein, fund_type AS label, count(*) OVER (PARTITION BY fund_type) AS n,
+    row_number() OVER (PARTITION BY fund_type ORDER BY md5(ein || '#42'), ein) AS rn FROM funds))""")
+sql("propagate_two_hops", """SELECT ein, round(num_managers + 1e-7, 5) AS num_managers, round(fee_percentile + 1e-7, 5) AS fee_percentile,
+  round(coalesce(a1, 0) + 1e-7, 5) AS num_clients_h1, round(coalesce(b1, 0) + 1e-7, 5) AS pagerank_score_h1,
+  round(coalesce(c2, 0) + 1e-7, 5) AS num_managers_h2, round(coalesce(d2, 0) + 1e-7, 5) AS fee_percentile_h2
+  FROM fund_x LEFT JOIN f1 USING (ein) LEFT JOIN f2 USING (ein)""", f"""{FUND_X}, {MANAGER_X},
+  mx AS (SELECT ein, arg_max(num_clients, name) AS num_clients, arg_max(pagerank_score, name) AS pagerank_score FROM manager_x GROUP BY ein),
+  ve AS (SELECT fund_ein, manager_ein FROM edges WHERE fund_ein IN (SELECT ein FROM fund_x) AND manager_ein IN (SELECT ein FROM mx)),
+  f1 AS (SELECT fund_ein AS ein, avg(num_clients) AS a1, avg(pagerank_score) AS b1 FROM ve JOIN mx ON manager_ein = ein GROUP BY fund_ein),
+  m1 AS (SELECT manager_ein AS ein, avg(num_managers) AS c1, avg(fee_percentile) AS d1 FROM ve JOIN fund_x ON fund_ein = ein GROUP BY manager_ein),
+  f2 AS (SELECT fund_ein AS ein, avg(c1) AS c2, avg(d1) AS d2 FROM ve JOIN m1 ON manager_ein = ein GROUP BY fund_ein)""")
+
+PRED = """pred AS (SELECT doc_id, quality AS label, 1 - toxic AS prediction, (ascii(substr(md5(cast(doc_id AS varchar)), 1, 1)) - 40) / 80.0 AS p1 FROM labels),
+cls AS (SELECT c, count(*) FILTER (WHERE label = c) AS support, count(*) FILTER (WHERE prediction = c) AS predicted,
+  count(*) FILTER (WHERE label = c AND prediction = c) AS tp FROM pred, (SELECT DISTINCT unnest([label, prediction]) AS c FROM pred) GROUP BY c),
+pr AS (SELECT c, support, tp, CASE WHEN predicted = 0 THEN 0.0 ELSE tp / predicted END AS p, CASE WHEN support = 0 THEN 0.0 ELSE tp / support END AS r FROM cls),
+prf AS (SELECT *, CASE WHEN p + r = 0 THEN 0.0 ELSE 2 * p * r / (p + r) END AS f FROM pr)"""
+sql("confusion_table", "SELECT label AS y, prediction AS yhat, count(*) AS n FROM pred GROUP BY ALL", PRED)
+sql("weighted_scores", """SELECT round(sum(f * support) / sum(support), 6) AS f1, round(sum(p * support) / sum(support), 6) AS "precision",
+  round(sum(r * support) / sum(support), 6) AS recall FROM prf""", PRED)
+sql("roc_auc", """SELECT round(sum(CASE WHEN a.p1 > b.p1 THEN 1.0 WHEN a.p1 = b.p1 THEN 0.5 ELSE 0.0 END) / count(*), 6) AS auc
+  FROM pred a JOIN pred b ON a.label = 1 AND b.label = 0""", PRED)
+sql("classification_report", """SELECT cast(c AS varchar) AS "row", round(p, 6) AS "precision", round(r, 6) AS recall, round(f, 6) AS f1, support FROM prf
+  UNION ALL SELECT 'accuracy', round(sum(tp) / sum(support), 6), round(sum(tp) / sum(support), 6), round(sum(tp) / sum(support), 6), cast(sum(support) AS bigint) FROM prf
+  UNION ALL SELECT 'macro avg', round(avg(p), 6), round(avg(r), 6), round(avg(f), 6), cast(sum(support) AS bigint) FROM prf
+  UNION ALL SELECT 'weighted avg', round(sum(p * support) / sum(support), 6), round(sum(r * support) / sum(support), 6), round(sum(f * support) / sum(support), 6), cast(sum(support) AS bigint) FROM prf""", PRED)
+sql("log_loss", """SELECT round(sum(w * -ln(CASE WHEN label = 1 THEN p1 ELSE 1 - p1 END)) / sum(w), 6) AS log_loss
+  FROM (SELECT *, count(*) OVER () / count(*) OVER (PARTITION BY label) AS w FROM pred)""", PRED)
+sql("best_fund_type", """SELECT fund_type, score FROM (SELECT fund_type, round(avg(fee_percentile), 6) AS score FROM training GROUP BY fund_type)
+  ORDER BY score DESC, fund_type LIMIT 1""")

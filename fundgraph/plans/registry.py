@@ -11,10 +11,13 @@ from ..functions import columns as C
 from ..functions import names as N
 from ..operators import aggregates as A
 from ..operators import betweenness as BC
+from ..operators import classify as K
 from ..operators import components as CC
 from ..operators import entity as E
+from ..operators import features as FT
 from ..operators import graph as G
 from ..operators import louvain as LV
+from ..operators import metrics as M
 from ..operators import pagerank as PR
 from ..operators import pairs as P
 from ..operators import ranking as W
@@ -25,6 +28,7 @@ from ..session import scratch_path
 from ..sources import star, tables
 from . import ingest as I
 from . import labels as LB
+from . import model as MD
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -562,16 +566,21 @@ def circular_flag_by_label(spark, d):
     return flags.groupBy("in_circular_pattern").agg(F.count("*").alias("nodes"))
 
 
+def scores_off_ties(df: DataFrame) -> DataFrame:
+    """Scores are simple fractions; a small shift keeps them off exact rounding ties."""
+    return df.withColumn("betweenness_score", F.round(F.col("betweenness_score") + 1e-5, 2))
+
+
 @query
 def betweenness_sampled(spark, d):
     g = graph(spark, d)
-    return BC.betweenness(g.nodes, g.edges, sample=16).withColumns(rnd(2, "betweenness_score"))
+    return scores_off_ties(BC.betweenness(g.nodes, g.edges, sample=16))
 
 
 @query
 def betweenness_funds_sampled(spark, d):
     g = shared_graph(spark, d)
-    return BC.betweenness(g.nodes, g.edges, sample=4).withColumns(rnd(2, "betweenness_score"))
+    return scores_off_ties(BC.betweenness(g.nodes, g.edges, sample=4))
 
 
 @query
@@ -599,3 +608,123 @@ def modularity_by_fund_type(spark, d):
     g = shared_graph(spark, d)
     c = funds(spark, d).select(G.node_id(G.FUND, "ein").alias("id"), F.col("fund_type").alias("community_id"))
     return LV.modularity(g.edges, c, "weight").withColumns(rnd(8, "modularity"))
+
+
+# ---- features, split, model, metrics
+
+
+def manager_table(spark: SparkSession, d: str) -> DataFrame:
+    """Managers with stand-in parent flags and the number of spellings as group size."""
+    flags = star.manager_attributes(spark, d).select(F.col("manager_ein").alias("ein"), "same_parent_flag")
+    return R.with_group_size(managers(spark, d), "ein").join(flags, "ein", "left")
+
+
+def manager_score_table(spark: SparkSession, d: str) -> DataFrame:
+    return star.table(spark, d, "part").selectExpr(
+        "cast(p_partkey as string) AS ein", "CASE WHEN p_size <= 45 THEN p_size / 100.0D END AS pagerank_score", "p_type AS community_id"
+    )
+
+
+def training(spark: SparkSession, d: str) -> DataFrame:
+    return X.training_rows(labelled(spark, d))
+
+
+def predictions(spark: SparkSession, d: str) -> DataFrame:
+    """Truth, prediction and a score with ties, derived from the label table."""
+    return star.table(spark, d, "labels").selectExpr(
+        "doc_id", "quality AS label", "1 - toxic AS prediction",
+        "(ascii(substr(md5(cast(doc_id as string)), 1, 1)) - 40) / 80.0D AS probability_1",
+    )
+
+
+def model_in(spark: SparkSession, d: str) -> MD.ModelInput:
+    return MD.model_input(labelled(spark, d), manager_table(spark, d), manager_score_table(spark, d), edges(spark, d))
+
+
+@query
+def fund_feature_matrix(spark, d):
+    return FT.fund_features(training(spark, d)).withColumns(rnd(6, *FT.FUND_FEATURES))
+
+
+@query
+def manager_feature_matrix(spark, d):
+    m = FT.manager_features(manager_table(spark, d), manager_score_table(spark, d), ("ein", "name"))
+    return m.withColumns(rnd(6, *FT.MANAGER_FEATURES))
+
+
+@query
+def standardized_fund_features(spark, d):
+    x = FT.fund_features(training(spark, d))
+    return FT.standardize(x, FT.FUND_FEATURES).withColumns(rnd(5, *FT.FUND_FEATURES))
+
+
+@query
+def stratified_split(spark, d):
+    return FT.stratified_split(funds(spark, d).select("ein", F.col("fund_type").alias("label")))
+
+
+@query
+def propagate_two_hops(spark, d):
+    f = FT.fund_features(training(spark, d), ("ein",)).select("ein", "num_managers", "fee_percentile")
+    m = FT.manager_features(R.keep_last(manager_table(spark, d), "ein", "name"), manager_score_table(spark, d)).select("ein", "num_clients", "pagerank_score")
+    out = FT.propagate(f, m, edges(spark, d), 2)
+    # the means are simple fractions; a small shift keeps them off exact rounding ties
+    return out.withColumns({c: F.round(F.col(c) + 1e-7, 5) for c in out.columns if c != "ein"})
+
+
+@query
+def confusion_table(spark, d):
+    return M.confusion(predictions(spark, d))
+
+
+@query
+def weighted_scores(spark, d):
+    return M.weighted_prf(predictions(spark, d)).withColumns(rnd(6, "f1", "precision", "recall"))
+
+
+@query
+def roc_auc(spark, d):
+    return M.roc_auc(predictions(spark, d)).withColumns(rnd(6, "auc"))
+
+
+@query
+def classification_report(spark, d):
+    return M.classification_report(predictions(spark, d)).withColumns({**rnd(6, "precision", "recall", "f1"), "support": F.col("support").cast("bigint")})
+
+
+@query
+def log_loss(spark, d):
+    return M.log_loss(predictions(spark, d)).withColumns(rnd(6, "log_loss"))
+
+
+@query
+def best_fund_type(spark, d):
+    """The fund type with the largest mean fee percentile."""
+    means = training(spark, d).groupBy("fund_type").agg(F.round(F.avg("fee_percentile"), 6).alias("score"))
+    return M.best_by(means, "fund_type", "score")
+
+
+@query
+def classifier_test_scores(spark, d):
+    """Full model, chosen on the validation split, saved and loaded again."""
+    table, cols = MD.propagated(model_in(spark, d), 2)
+    model, _ = K.select_on_validation(table, cols)
+    path = scratch_path(spark, "model")
+    K.save_model(model, path)
+    pred = K.predict(K.load_model(path), table.filter("split = 'test'"))
+    return pred.select("ein", "label", "prediction", "probability_1")
+
+
+@query
+def layer_sweep(spark, d):
+    return MD.layer_sweep(model_in(spark, d), candidates=K.CANDIDATES[:1])
+
+
+@query
+def ablations(spark, d):
+    return MD.ablations(model_in(spark, d), 2, candidates=K.CANDIDATES[:1])
+
+
+@query
+def forest_baseline(spark, d):
+    return MD.baseline(model_in(spark, d)).select("ein", "label", "prediction", "probability_1")
