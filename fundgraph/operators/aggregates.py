@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import fee_sum, guarded_ratio
-from .pairs import shared_totals
+from ..session import cut
 from .ranking import quantiles
 
 
@@ -102,10 +102,11 @@ def fund_profile(fm_edges: DataFrame, managers: DataFrame) -> DataFrame:
     """All per-fund payment features in one pass over the edges.
 
     ``managers``: manager_ein, community_id, same_parent_flag.  The edges are
-    combined once to (fund, manager); that table meets the per-manager columns
-    in one join and is grouped by fund once.
+    combined once to (fund, manager) and that smaller table is written, as it is
+    read twice: for the clients per manager and for the join with them.  Without
+    the write both reads would scan and join the payment lines again.
     """
-    fees = fund_manager_fees(fm_edges)
+    fees = cut(fund_manager_fees(fm_edges), "fees")
     clients = fees.groupBy("manager_ein").agg(F.count("*").alias("_clients"))
     per_manager = clients.join(managers, "manager_ein", "left")
     wide = fees.join(per_manager, "manager_ein")
@@ -188,6 +189,7 @@ def feature_means_by_label(df: DataFrame, cols: Sequence[str] = REPORT_FEATURES,
 
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Count, mean, sample deviation, minimum, exact quartiles, maximum; one row per column."""
+    df = cut(df.select(*cols), "describe")
     x = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols]))
     long = df.select(x.alias("x")).select("x.*").filter("v is not null and not isnan(v)")
     base = long.groupBy("column").agg(

@@ -80,6 +80,8 @@ def propagate(funds: DataFrame, managers: DataFrame, edges: DataFrame, k: int) -
     a node is the mean of its neighbours' hop i-1; a node without neighbours gets
     0.  Columns of hop i are named <column>_h<i>.
     """
+    # every hop reads these again
+    funds, managers = cut(funds, "fund_x"), cut(managers, "manager_x")
     links = edges.groupBy("fund_ein", "manager_ein").agg(F.count("*").alias("n"))
     links = cut(
         links.join(funds.select(F.col("ein").alias("fund_ein")), "fund_ein", "left_semi").join(

@@ -59,6 +59,9 @@ def build_graph(
         F.col("total_fees").try_cast("double").alias("total_fees"),
         F.col("num_clients").try_cast("bigint").alias("num_clients"),
     )
+    # the loaded nodes are a stored table: edges and every algorithm read them again
+    nodes = cut(fund_nodes.unionByName(manager_nodes, allowMissingColumns=True), "nodes")
+    f, m = (nodes.filter(F.col("label") == x).select("ein") for x in (FUND, MANAGER))
     valid = valid_edges(fund_manager, f, m)
     if fees == "sum":
         paid = valid.groupBy("fund_ein", "manager_ein").agg(F.sum("fee_paid").alias("fee_paid"))
@@ -78,7 +81,7 @@ def build_graph(
                 F.lit(SHARES).alias("type"), F.col("shared_managers").cast("double").alias("weight"),
             )
         )
-    return Graph(fund_nodes.unionByName(manager_nodes, allowMissingColumns=True), reduce(DataFrame.unionByName, rows))
+    return Graph(nodes, cut(reduce(DataFrame.unionByName, rows), "edges"))
 
 
 def project(g: Graph, labels: Sequence[str], rels: dict[str, str]) -> Graph:

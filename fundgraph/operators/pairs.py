@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut
+
 #: Rows of one key that a single join cell may hold on either side.
 BLOCK = 2000
 
@@ -50,7 +52,7 @@ def shared_key_pairs(
 
 def co_client_pairs(fm: DataFrame, block: int = BLOCK) -> DataFrame:
     """(manager, fund_a, fund_b), fund_a < fund_b, for funds that share a manager."""
-    d = fm.select("manager_ein", "fund_ein").distinct()
+    d = cut(fm.select("manager_ein", "fund_ein").distinct(), "pairs")
     p = shared_key_pairs(d, "manager_ein", "fund_ein", block=block)
     return p.withColumnsRenamed({"a": "fund_a", "b": "fund_b"})
 
@@ -74,7 +76,7 @@ def shared_totals(fm: DataFrame) -> DataFrame:
     A fund meets clients(m) - 1 partners at each of its managers m, so the sum
     over partners equals the sum over managers: linear in the edges.
     """
-    d = fm.select("fund_ein", "manager_ein").distinct()
+    d = cut(fm.select("fund_ein", "manager_ein").distinct(), "pairs")
     clients = d.groupBy("manager_ein").agg(F.count("*").alias("_clients")).filter("_clients > 1")
     return (
         d.join(clients, "manager_ein")

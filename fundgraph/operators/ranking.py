@@ -48,8 +48,15 @@ def average_ranks(df: DataFrame, col: str, within: Sequence[str] = ()) -> DataFr
     return ranked.withColumn("avg_rank", F.col("before") + (F.col("n") + 1) / 2)
 
 
-def pct_rank_avg(df: DataFrame, col: str, out: str = "pct_rank", partition: str | None = None) -> DataFrame:
-    """Percentile rank with ties averaged; null has no rank and is not counted."""
+def pct_rank_avg(
+    df: DataFrame, col: str, out: str = "pct_rank", partition: str | None = None, stored: bool = False
+) -> DataFrame:
+    """Percentile rank with ties averaged; null has no rank and is not counted.
+
+    The input is read for the counts and again for the result, so it is written
+    first unless it is ``stored`` already.
+    """
+    df = df if stored else cut(df, "ranked")
     within = [partition] if partition else []
     ranks = average_ranks(df, col, within)
     if partition:

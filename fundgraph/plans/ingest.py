@@ -41,15 +41,21 @@ def payments(lines: DataFrame) -> DataFrame:
 
 def fund_manager_edges(lines: DataFrame, filings: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """One row per payment line between two known, different parties."""
-    joined = attach_fund(null_markers(lines), null_markers(filings.select("ACK_ID", "SPONS_DFE_EIN")))
-    e = joined.select(
-        normalize_ein("SPONS_DFE_EIN").alias("fund_ein"),
-        normalize_ein("PROVIDER_OTHER_EIN").alias("manager_ein"),
-        F.col("PROVIDER_OTHER_NAME").alias("manager_name"),
-        F.col("PROVIDER_OTHER_DIRECT_COMP_AMT").alias("fee_paid"),
-        *extra,
+    # EINs are cleaned before the join: once per filing, not once per matched line
+    f = null_markers(filings.select("ACK_ID", "SPONS_DFE_EIN"))
+    f = require(f.withColumn("SPONS_DFE_EIN", normalize_ein("SPONS_DFE_EIN")), ["SPONS_DFE_EIN"])
+    named = null_markers(lines).withColumn("manager_ein", normalize_ein("PROVIDER_OTHER_EIN"))
+    # a line without a fund would be dropped again, and this filter makes the left join an inner one
+    joined = require(attach_fund(require(named, ["manager_ein"]), f), ["SPONS_DFE_EIN"])
+    return drop_self_loops(
+        joined.select(
+            F.col("SPONS_DFE_EIN").alias("fund_ein"),
+            "manager_ein",
+            F.col("PROVIDER_OTHER_NAME").alias("manager_name"),
+            F.col("PROVIDER_OTHER_DIRECT_COMP_AMT").alias("fee_paid"),
+            *extra,
+        )
     )
-    return drop_self_loops(require(e, ["fund_ein", "manager_ein"]))
 
 
 def ingest(filings: DataFrame, lines: DataFrame) -> GraphTables:

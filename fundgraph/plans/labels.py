@@ -23,7 +23,7 @@ def labelled_funds(
     read by both the ranking and the assembly instead of being computed twice.
     """
     profile = cut(fund_profile(edges, managers), "profile")
-    ranked = pct_rank_avg(profile, "total_fees", "fee_percentile")
+    ranked = pct_rank_avg(profile, "total_fees", "fee_percentile", stored=True)
     base = funds.select("ein", "plan_name", "fund_type", "num_participants")
     parts = [ranked.drop("manager_community_count")]
     if fund_scores is None:

@@ -24,7 +24,7 @@ from ..operators import ranking as W
 from ..operators import relational as R
 from ..operators import risk as X
 from ..operators import similarity as SIM
-from ..session import scratch_path
+from ..session import cut, scratch_path
 from ..sources import star, tables
 from . import ingest as I
 from . import labels as LB
@@ -420,8 +420,10 @@ def prepared(spark: SparkSession, d: str) -> DataFrame:
 @query
 def clean_names(spark, d):
     li = star.provider_lines(spark, d, named=True)
-    n = N.clean_name("PROVIDER_OTHER_NAME")
-    return li.groupBy(n.alias("name_clean"), N.token_sort(n).alias("sorted_name")).agg(F.count("*").alias("lines"))
+    # spellings repeat, so they are counted before they are cleaned
+    spelt = cut(li.groupBy("PROVIDER_OTHER_NAME").agg(F.count("*").alias("n")))
+    clean = cut(spelt.select(N.clean_name("PROVIDER_OTHER_NAME").alias("name_clean"), "n").groupBy("name_clean").agg(F.sum("n").alias("lines")))
+    return clean.select("name_clean", N.token_sort("name_clean").alias("sorted_name"), "lines")
 
 
 @query
@@ -438,7 +440,7 @@ def name_thresholds(spark, d):
 @query
 def spelling_similarity(spark, d):
     """Similarity of every spelling with the first spelling of the same EIN."""
-    m = managers(spark, d).select("ein", "name")
+    m = cut(managers(spark, d).select("ein", "name"))
     first = m.groupBy("ein").agg(F.min("name").alias("first_name"))
     score = N.token_sort_ratio(N.clean_name("name"), N.clean_name("first_name"))
     return m.join(first, "ein").select("ein", "name", F.round(score, 6).alias("score"))
@@ -481,7 +483,7 @@ def graph(spark: SparkSession, d: str, fees: str = "last") -> G.Graph:
 def shared_graph(spark: SparkSession, d: str) -> G.Graph:
     """Funds and their shared-manager edges, one canonical row per pair."""
     e = edges(spark, d)
-    nodes = funds(spark, d).select(G.node_id(G.FUND, "ein").alias("id"), F.lit(G.FUND).alias("label"), "ein")
+    nodes = cut(funds(spark, d).select(G.node_id(G.FUND, "ein").alias("id"), F.lit(G.FUND).alias("label"), "ein"))
     ff = P.shared_manager_counts(e).select(
         G.node_id(G.FUND, "fund_a").alias("src"), G.node_id(G.FUND, "fund_b").alias("dst"),
         F.lit(G.SHARES).alias("type"), F.col("shared_managers").cast("double").alias("weight"),
