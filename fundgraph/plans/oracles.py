@@ -294,6 +294,11 @@ sql("project_reverse", "SELECT dst AS src, src AS dst, type, weight FROM gedges"
 sql("induced_manager_subgraph", """SELECT 'nodes' AS "table", count(*) AS rows FROM gnodes WHERE label = 'AssetManager'
   UNION ALL SELECT 'edges', count(*) FROM gedges WHERE src IN (SELECT id FROM gnodes WHERE label = 'AssetManager')""", GRAPH)
 sql("expand_allocations", "SELECT a.ein AS src_ein, b.ein AS dst_ein, weight FROM gedges JOIN gnodes a ON a.id = src JOIN gnodes b ON b.id = dst", GRAPH)
+sql("fund_score_export", """SELECT ein, cast(NULL AS varchar) AS community_id, cast(NULL AS double) AS betweenness_score, num_managers AS total_managers,
+  manager_community_count, round(community_concentration, 6) AS community_concentration, total_fees, round(same_parent_fee_ratio, 6) AS same_parent_fee_ratio,
+  cast(NULL AS int) AS in_circular_pattern FROM funds LEFT JOIN profile USING (ein)""")
+sql("manager_score_export", """SELECT ein, name, cast(NULL AS double) AS pagerank_score, num_clients, total_fees, same_parent_flag,
+  cast(NULL AS bigint) AS parent_group_id, cast(NULL AS bigint) AS group_size, community_id FROM mgr_n LEFT JOIN attrs ON ein = manager_ein""", GRAPH)
 sql("undirected_edges", "SELECT fund_ein, manager_ein, 'forward' AS rel FROM fees UNION ALL SELECT manager_ein, fund_ein, 'reverse' FROM fees")
 
 

@@ -529,6 +529,25 @@ def undirected_edges(spark, d):
     return R.to_undirected(e, "fund_ein", "manager_ein", rel="rel")
 
 
+@query
+def fund_score_export(spark, d):
+    nodes = graph(spark, d).nodes.drop("total_fees")
+    prof = A.fund_profile(edges(spark, d), star.manager_attributes(spark, d))
+    metrics = prof.select(
+        G.node_id(G.FUND, "ein").alias("id"), F.col("num_managers").alias("total_managers"), "manager_community_count",
+        "community_concentration", "total_fees", "same_parent_fee_ratio",
+    )
+    out = G.fund_scores(G.with_property(nodes, metrics))
+    return out.withColumns(rnd(6, "community_concentration", "same_parent_fee_ratio"))
+
+
+@query
+def manager_score_export(spark, d):
+    attrs = star.manager_attributes(spark, d)
+    metrics = attrs.select(G.node_id(G.MANAGER, "manager_ein").alias("id"), "community_id", "same_parent_flag")
+    return G.manager_scores(G.with_property(graph(spark, d).nodes, metrics))
+
+
 @query
 def pagerank_unweighted(spark, d):
     g = G.project(graph(spark, d), [G.FUND, G.MANAGER], {G.ALLOCATED: "UNDIRECTED"})
