@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fundgraph.llm import mixing, quality_rules, secrets
+from fundgraph.llm import chat, mixing, quality_rules, secrets
 from fundgraph.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -14,11 +14,13 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {
     "op2_secret_scan": lambda spark, d: secrets.digest(table(spark, d, "documents")),
     "op4_quality_rules": lambda spark, d: quality_rules.digest(table(spark, d, "documents")),
+    "op5_chat_format": lambda spark, d: chat.digest(chat.with_control_conversation(spark, table(spark, d, "conversations"))),
     "op7_mix_sources": lambda spark, d: mixing.digest(table(spark, d, "documents")),
 }
 
 SQL: dict[str, str] = {
     "op2_secret_scan": secrets.oracle(),
     "op4_quality_rules": quality_rules.oracle(),
+    "op5_chat_format": chat.oracle(),
     "op7_mix_sources": mixing.oracle(),
 }
