@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fundgraph.llm import chat, mixing, quality_model, quality_rules, secrets
+from fundgraph.llm import chat, mixing, quality_model, quality_rules, secrets, simhash
 from fundgraph.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,6 +15,7 @@ QUERIES: dict[str, Query] = {
     "op2_secret_scan": lambda spark, d: secrets.digest(table(spark, d, "documents")),
     "op4_quality_rules": lambda spark, d: quality_rules.digest(table(spark, d, "documents")),
     "op5_chat_format": lambda spark, d: chat.digest(chat.with_control_conversation(spark, table(spark, d, "conversations"))),
+    "op6_simhash": lambda spark, d: simhash.digest(table(spark, d, "documents")),
     "op7_mix_sources": lambda spark, d: mixing.digest(table(spark, d, "documents")),
     "op8_quality_classifier": lambda spark, d: quality_model.digest(table(spark, d, "documents"), table(spark, d, "labels")),
 }

@@ -97,3 +97,20 @@ def byte_symbols(data: np.ndarray) -> np.ndarray:
 def fields_of(starts: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """The text that each place lies in."""
     return np.searchsorted(offsets, starts, "right") - 1
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], column: str, rows: int = 200_000) -> Iterator[pa.Table]:
+    """Tables of complete groups from batches sorted by ``column``: some ``rows`` at a time, or one group if that has more."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(x.num_rows for x in held) < rows:
+            continue
+        t = pa.Table.from_batches(held)
+        key = t.column(column).to_numpy()
+        cut = int(np.searchsorted(key, key[-1], "left")) if key[0] != key[-1] else 0
+        if cut:
+            yield t.slice(0, cut)
+            held = t.slice(cut).combine_chunks().to_batches()
+    if held:
+        yield pa.Table.from_batches(held)
