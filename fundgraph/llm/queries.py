@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fundgraph.llm import chat, mixing, quality_model, quality_rules, secrets, simhash
+from fundgraph.llm import chat, mixing, quality_model, quality_rules, secrets, simhash, token_files
 from fundgraph.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,7 @@ QUERIES: dict[str, Query] = {
     "op6_simhash": lambda spark, d: simhash.digest(table(spark, d, "documents")),
     "op7_mix_sources": lambda spark, d: mixing.digest(table(spark, d, "documents")),
     "op8_quality_classifier": lambda spark, d: quality_model.digest(table(spark, d, "documents"), table(spark, d, "labels")),
+    "op9_token_files": lambda spark, d: token_files.digest(table(spark, d, "documents")),
 }
 
 SQL: dict[str, str] = {
