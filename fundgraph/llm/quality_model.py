@@ -178,16 +178,17 @@ def scored(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None) ->
     x, y = training_table(docs, labels)
     forest = fit(x, y) if len(y) else None
     columns = keep or ["doc_id"]
-    # the text travels once, as the last column
-    rows = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(columns)], F.coalesce(F.col("text").cast("string"), F.lit("")).alias("own_text"))
+    read = columns if "text" in columns else [*columns, "text"]
+    rows = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(read)])
+    own, n = read.index("text"), len(columns)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = np.ones(batch.num_rows)
             if forest is not None:
-                for first, last, data, offsets in chunks(*flat(batch.column("own_text"))):
+                for first, last, data, offsets in chunks(*flat(batch.column(own))):
                     out[first:last] = forest.score(statistics(data, offsets))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out)], [*batch.schema.names[:-1], "quality_score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(out)], [*batch.schema.names[:n], "quality_score"])
 
     kinds = dict(docs.dtypes)
     schema = ", ".join([*[f"k{i} {kinds[c]}" for i, c in enumerate(columns)], "quality_score double"])

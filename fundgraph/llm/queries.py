@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fundgraph.llm import chat, mixing, quality_model, quality_rules, secrets, simhash, token_files
+from fundgraph.llm import chat, decontaminate, mixing, quality_model, quality_rules, secrets, simhash, token_files
 from fundgraph.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     "op2_secret_scan": lambda spark, d: secrets.digest(table(spark, d, "documents")),
+    "op3_decontaminate": lambda spark, d: decontaminate.leaks(table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op4_quality_rules": lambda spark, d: quality_rules.digest(table(spark, d, "documents")),
     "op5_chat_format": lambda spark, d: chat.digest(chat.with_control_conversation(spark, table(spark, d, "conversations"))),
     "op6_simhash": lambda spark, d: simhash.digest(table(spark, d, "documents")),
