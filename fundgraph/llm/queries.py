@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fundgraph.llm import chat, decontaminate, mixing, quality_model, quality_rules, secrets, simhash, token_files
+from fundgraph.llm import chat, decontaminate, mixing, quality_model, quality_rules, secrets, simhash, substring_dedup, suffix_dedup, token_files
 from fundgraph.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
+    "op1_substring_dedup": lambda spark, d: substring_dedup.digest(table(spark, d, "documents")),
     "op2_secret_scan": lambda spark, d: secrets.digest(table(spark, d, "documents")),
     "op3_decontaminate": lambda spark, d: decontaminate.leaks(table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op4_quality_rules": lambda spark, d: quality_rules.digest(table(spark, d, "documents")),
@@ -20,9 +21,11 @@ QUERIES: dict[str, Query] = {
     "op7_mix_sources": lambda spark, d: mixing.digest(table(spark, d, "documents")),
     "op8_quality_classifier": lambda spark, d: quality_model.digest(table(spark, d, "documents"), table(spark, d, "labels")),
     "op9_token_files": lambda spark, d: token_files.digest(table(spark, d, "documents")),
+    "op10_suffix_dedup": lambda spark, d: suffix_dedup.digest(table(spark, d, "documents")),
 }
 
 SQL: dict[str, str] = {
+    "op1_substring_dedup": substring_dedup.oracle(),
     "op2_secret_scan": secrets.oracle(),
     "op4_quality_rules": quality_rules.oracle(),
     "op5_chat_format": chat.oracle(),

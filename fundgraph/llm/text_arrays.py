@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,13 +23,17 @@ _P_INVERSE = pow(_P, -1, 1 << 64)
 
 def powers(base: int, n: int) -> np.ndarray:
     """base ** 0 ... base ** (n - 1), modulo 2 ** 64."""
-    out = np.ones(max(n, 1), np.uint64)
+    return _powers(base, 1 << max(10, (n - 1).bit_length()))[:n]
+
+
+@lru_cache(maxsize=4)
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.ones(n, np.uint64)
     done = 1
     while done < n:
-        step = min(done, n - done)
-        out[done : done + step] = out[:step] * np.uint64(pow(base, done, 1 << 64))
-        done += step
-    return out[:n]
+        out[done : 2 * done] = out[:done] * np.uint64(pow(base, done, 1 << 64))
+        done *= 2
+    return out
 
 
 def mix(x: np.ndarray) -> np.ndarray:
