@@ -1,6 +1,6 @@
 """Mixing sources to target weights: exact word budgets by distributed prefix sums over hash-random order.
 
-Every document gets a hash-random key; the key's leading digits are its range.
+Every document gets a hash-random key; equal stretches of the key space are the ranges.
 Ranges are summed for each source, the sums are added up in order, and within a
 range a window continues them, so a source of any size is spread over as many
 ranges as it needs and no task sorts more than one range.  A source's budget is
@@ -26,7 +26,7 @@ WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
 
 #: Documents that a range holds on average.
-RANGE_ROWS = 5_000
+RANGE_ROWS = 1_000
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -64,9 +64,10 @@ def targets(sums: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MAX
 
 def mix(docs: DataFrame, keep: list[str]) -> DataFrame:
     """The columns ``keep`` of every row, mix_size, mix_source_size, mix_target and mix_taken."""
-    digits = max(1, math.ceil(math.log(max(1, docs.count() / RANGE_ROWS), 16)))
-    rows = keyed(docs).select(*keep, "mix_source", "mix_size", "mix_key", F.substring("mix_key", 1, digits).alias("mix_range"))
-    # sums by range and source: 16 ** digits rows for each source at most, combined before the shuffle
+    n = math.ceil(docs.count() / RANGE_ROWS)
+    place = F.conv(F.substring("mix_key", 1, 8), 16, 10).cast("long")
+    rows = keyed(docs).select(*keep, "mix_source", "mix_size", "mix_key", F.shiftright(place * n, 32).alias("mix_range"))
+    # sums by range and source: at most n narrow rows for each source, combined before the shuffle
     ranges = rows.groupBy("mix_source", "mix_range").agg(F.sum("mix_size").alias("words"))
     goal = targets(ranges.groupBy(F.col("mix_source").alias("source")).agg(F.sum("words").alias("source_size")))
     running = Window.partitionBy("mix_source").orderBy("mix_range").rowsBetween(Window.unboundedPreceding, -1)
