@@ -14,7 +14,7 @@ characters, each of which is sent to all tasks, and each block meets every text.
 
 Nulls: a null text is empty; a null doc_id is given back as null; a null item or
 one of fewer than MIN_WORDS words is not searched, because so few words meet by
-chance.  Items of equal compared text are one, under their smallest item_id.  Rows
+chance; a null item_id is given back as null.  Items of equal compared text are one, under their smallest item_id.  Rows
 that repeat a doc_id are searched each on their own.  With no items nothing is found
 and nothing removed; an empty table gives an empty result.  Other columns are ignored.
 """
@@ -30,7 +30,7 @@ from functools import reduce
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from fundgraph.llm.common import texts
+from fundgraph.llm.common import NO_ID, texts
 
 #: Edits allowed for each character of an item.
 RATE = 0.08
@@ -145,7 +145,7 @@ def searcher(key: str, items: list[tuple[int, str]], rate: float) -> Searcher:
 
 def blocks(benchmark: DataFrame, size: int) -> list[list[tuple[int, str]]]:
     """The items, distinct by compared text, in blocks of about ``size`` characters: read block by block, by a hash of the text."""
-    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.trim(F.regexp_replace(F.lower("text"), r"(?U)[\W_]+", " ")).alias("text"))
+    rows = benchmark.select(F.coalesce(F.col("item_id").cast("long"), F.lit(NO_ID)).alias("item_id"), F.trim(F.regexp_replace(F.lower("text"), r"(?U)[\W_]+", " ")).alias("text"))
     rows = rows.filter(F.size(F.split("text", " ")) >= MIN_WORDS).groupBy("text").agg(F.min("item_id").alias("item_id"))
     total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     n = max(1, math.ceil(total / size))
@@ -174,7 +174,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, block_chars
             for batch in batches:
                 found = [(i, *h) for i, t in enumerate(batch.column("text")) for h in find.hits(t.as_py())]
                 of, item, distance, end = (list(x) for x in zip(*found)) if found else ([], [], [], [])
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(of, pa.int64())), pa.array(item, pa.int64()), pa.array(distance, pa.int32()), pa.array(end, pa.int32())], ["doc_id", "item_id", "distance", "end"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(of, pa.int64())), pa.array([None if x == NO_ID else x for x in item], pa.int64()), pa.array(distance, pa.int32()), pa.array(end, pa.int32())], ["doc_id", "item_id", "distance", "end"])
 
         return rows.mapInArrow(search, FOUND)
 

@@ -111,14 +111,14 @@ def encoder_of(vocabulary: str | None) -> Encoder:
     return Encoder(vocabulary)
 
 
-def pack(ids: bytes) -> tuple[list[int], list[bytes]]:
+def pack(ids: bytes, block_ids: int = BLOCK_IDS) -> tuple[list[int], list[bytes]]:
     """Ids per block, and the four compressed byte planes of each block."""
     from zstandard import ZstdCompressor
 
     press = ZstdCompressor(level=LEVEL)
     sizes, planes = [], []
-    for at in range(0, len(ids), 4 * BLOCK_IDS):
-        block = np.frombuffer(ids[at : at + 4 * BLOCK_IDS], np.uint8).reshape(-1, 4)
+    for at in range(0, len(ids), 4 * block_ids):
+        block = np.frombuffer(ids[at : at + 4 * block_ids], np.uint8).reshape(-1, 4)
         sizes.append(len(block))
         planes += [press.compress(np.ascontiguousarray(block[:, k]).tobytes()) for k in range(4)]
     return sizes, planes
@@ -144,7 +144,7 @@ _DATA = pa.schema([
 ])
 
 
-def write(docs: DataFrame, path: str, vocabulary: str | None = None, end: int = END) -> None:
+def write(docs: DataFrame, path: str, vocabulary: str | None = None, end: int = END, block_ids: int = BLOCK_IDS, segment_ids: int = SEGMENT_IDS) -> None:
     """Encodes ``docs`` into the tables ``path``/data and ``path``/index."""
     spark = docs.sparkSession
     rows = texts(docs).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.xxhash64("text").alias("tie"), "text")
@@ -163,7 +163,7 @@ def write(docs: DataFrame, path: str, vocabulary: str | None = None, end: int =
         size = 0
 
         def flush() -> pa.RecordBatch:
-            sizes, planes = pack(b"".join(held))
+            sizes, planes = pack(b"".join(held), block_ids)
             row = {"part": part, "segment": segment, "n_ids": size // 4, "doc_ids": ids, "doc_sizes": [len(x) // 4 for x in held], "block_ids": sizes, "planes": planes}
             return pa.RecordBatch.from_pylist([row], _DATA)
 
@@ -174,7 +174,7 @@ def write(docs: DataFrame, path: str, vocabulary: str | None = None, end: int =
                     held.append(coded + close)
                     ids.append(None if one == NO_ID else one)
                     size += len(held[-1])
-                    if size >= 4 * SEGMENT_IDS:
+                    if size >= 4 * segment_ids:
                         yield flush()
                         held, ids, size, segment = [], [], 0, segment + 1
         if held:
