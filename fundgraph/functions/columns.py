@@ -18,6 +18,15 @@ MISSING = (
 FUND_TYPES = {1: "Single Employer", 2: "Multi Employer", 3: "Multiple Employer", 4: "DFE"}
 
 
+#: White space as the original cleaning strips it: that of Unicode, and four separators of ASCII.
+BLANK = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
+
+#: A decimal number: no type suffix, no hexadecimal form, no word.
+NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+
+INTEGERS = ("int", "bigint")
+
+
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -30,7 +39,24 @@ def null_markers(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 
 def normalize_ein(c: Column | str) -> Column:
     """Digits of an EIN without leading zeros or a ``.0`` tail; null when not numeric."""
-    return _col(c).cast("string").try_cast("double").try_cast("bigint").cast("string")
+    return number(c).try_cast("bigint").cast("string")
+
+
+def strip(c: Column | str) -> Column:
+    return F.regexp_replace(_col(c), f"^{BLANK}+|{BLANK}+$", "")
+
+
+def number(c: Column | str) -> Column:
+    """Text as a double; null unless all of it is a decimal number."""
+    x = strip(_col(c).cast("string"))
+    return F.when(x.rlike(NUMBER), x.try_cast("double"))
+
+
+def to_int(c: Column | str, kind: str = "bigint") -> Column:
+    """Whole number, also from text with a ``.0`` tail, exact in the whole range; null for anything else."""
+    x = strip(_col(c).cast("string"))
+    exact = F.when(x.rlike(NUMBER), x.try_cast("decimal(38,9)"))
+    return F.when(exact == F.floor(exact), exact.try_cast(kind))
 
 
 def pad_ein(c: Column | str) -> Column:
@@ -40,12 +66,12 @@ def pad_ein(c: Column | str) -> Column:
 
 def norm_name(c: Column | str) -> Column:
     """Upper-case with all outer white space removed (``trim`` drops only blanks)."""
-    return F.upper(F.regexp_replace(_col(c), r"^\s+|\s+$", ""))
+    return F.upper(strip(c))
 
 
 def map_code(c: Column | str, names: Mapping[int, str] = FUND_TYPES, default: str = "Unknown") -> Column:
     pairs = [F.lit(v) for kv in names.items() for v in kv]
-    return F.coalesce(F.create_map(*pairs)[_col(c).cast("int")], F.lit(default))
+    return F.coalesce(F.create_map(*pairs)[to_int(c, "int")], F.lit(default))
 
 
 def as_key(c: Column | str) -> Column:
@@ -54,8 +80,8 @@ def as_key(c: Column | str) -> Column:
 
 def to_num(c: Column | str, default: float | None = None) -> Column:
     """Number or default; text that is no number, NaN and infinities count as missing."""
-    x = _col(c).cast("string").try_cast("double")
-    ok = F.when(~F.isnan(x) & (F.abs(x) != float("inf")), x)
+    x = number(c)
+    ok = F.when(F.abs(x) != float("inf"), x)
     return ok if default is None else F.coalesce(ok, F.lit(float(default)))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .columns import _col
+from .columns import BLANK, _col, strip
 
 # Legal and industry words removed from company names.
 LEGAL_WORDS = (
@@ -28,7 +28,8 @@ WORD_BITS = 62
 def clean_name(c: Column | str) -> Column:
     """Upper-case letters, digits and single blanks, without legal and industry words."""
     words = r"\b(" + "|".join(LEGAL_WORDS) + r")\b"
-    steps = ((r"^\s+|\s+$", ""), (words, ""), (r"[^A-Z0-9 ]", ""), (r"^\s+|\s+$", ""), (r"\s+", " "))
+    outer = f"^{BLANK}+|{BLANK}+$"
+    steps = ((outer, ""), (words, ""), (r"[^A-Z0-9 ]", ""), (outer, ""), (f"{BLANK}+", " "))
     x = F.upper(_col(c))
     for pattern, replacement in steps:
         x = F.regexp_replace(x, pattern, replacement)
@@ -37,8 +38,8 @@ def clean_name(c: Column | str) -> Column:
 
 def is_person(c: Column | str) -> Column:
     """At most three words and no company mark anywhere in the name."""
-    x = F.regexp_replace(_col(c), r"^\s+|\s+$", "")
-    words = F.when(x == "", F.lit(0)).otherwise(F.size(F.split(x, r"\s+")))
+    x = strip(c)
+    words = F.when(x == "", F.lit(0)).otherwise(F.size(F.split(x, f"{BLANK}+")))
     return (words <= 3) & ~F.upper(_col(c)).rlike("|".join(COMPANY_MARKS))
 
 
@@ -46,12 +47,12 @@ def threshold(c: Column | str, by_length: bool = False) -> Column:
     """Similarity threshold: 85, or optionally 95 for names of up to five characters."""
     if not by_length:
         return F.lit(85)
-    return F.when(F.length(F.regexp_replace(_col(c), r"^\s+|\s+$", "")) <= 5, F.lit(95)).otherwise(F.lit(85))
+    return F.when(F.length(strip(c)) <= 5, F.lit(95)).otherwise(F.lit(85))
 
 
 def token_sort(c: Column | str) -> Column:
     """White-space tokens in sorted order, joined by one blank."""
-    tokens = F.filter(F.split(_col(c), r"\s+"), lambda t: t != "")
+    tokens = F.filter(F.split(_col(c), f"{BLANK}+"), lambda t: t != "")
     return F.array_join(F.array_sort(tokens), " ")
 
 

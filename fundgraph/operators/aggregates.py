@@ -47,21 +47,24 @@ def total_shared_managers(ff: DataFrame, mode: str = "sum") -> DataFrame:
     """Per fund: sum of its shared-manager counts.
 
     ``mode='concat'`` joins the counts as text in partner order and reads the
-    result as a number, 0 beyond the double range.  A text that long needs more
-    than 309 digits, so only a fund's first 310 partners can matter to the value
-    and any further partner makes it 0: partners are limited to 310 per fund
-    before they are collected.
+    result as a number, 0 beyond the double range.  Counts of 0 before the first
+    other one only lead with zeros.  From there on a plain sum of lengths gives the
+    digits of the number: above 309 it is beyond the double range, and only texts
+    of at most that many digits are collected.
     """
     if mode == "sum":
         return ff.groupBy(F.col("fund_a").alias("ein")).agg(F.sum("shared_managers").alias("total_shared_managers"))
-    from .relational import _ranked
-
-    first = _ranked(ff, ["fund_a"], [F.col("fund_b")], 310)
-    parts = F.array_sort(F.collect_list(F.struct("fund_b", F.col("shared_managers").cast("string").alias("s"))))
+    counts = ff.select("fund_a", "fund_b", F.col("shared_managers").cast("string").alias("s"), (F.col("shared_managers") != 0).alias("some"))
+    # stored, so that the joins are plain ones and a fund with very many partners is split
+    lead = cut(counts.groupBy("fund_a").agg(F.min(F.when(F.col("some"), F.col("fund_b"))).alias("lead")), "lead")
+    digits = counts.join(lead, "fund_a").filter("fund_b >= lead")
+    small = cut(digits.groupBy("fund_a").agg(F.sum(F.length("s")).alias("n")).filter(F.col("n") <= 309).select("fund_a"), "lead")
+    parts = F.array_sort(F.collect_list(F.struct("fund_b", "s")))
     text = F.array_join(F.transform(parts, lambda x: x["s"]), "")
     value = text.try_cast("double")
     ok = F.when(~F.isnan(value) & (value < float("inf")), value)
-    return first.groupBy(F.col("fund_a").alias("ein")).agg(F.coalesce(ok, F.lit(0.0)).alias("total_shared_managers"))
+    texts = digits.join(small, "fund_a", "left_semi").groupBy("fund_a").agg(ok.alias("value"))
+    return lead.join(texts, "fund_a", "left").select(F.col("fund_a").alias("ein"), F.coalesce("value", F.lit(0.0)).alias("total_shared_managers"))
 
 
 def community_concentration(fm: DataFrame, community: DataFrame) -> DataFrame:
@@ -108,7 +111,8 @@ def fund_profile(fm_edges: DataFrame, managers: DataFrame) -> DataFrame:
     """
     fees = cut(fund_manager_fees(fm_edges), "fees")
     clients = fees.groupBy("manager_ein").agg(F.count("*").alias("_clients"))
-    per_manager = clients.join(managers, "manager_ein", "left")
+    # stored: the join with a manager of very many funds is a plain one, which the engine splits
+    per_manager = cut(clients.join(managers, "manager_ein", "left"), "clients")
     wide = fees.join(per_manager, "manager_ein")
     by_community = wide.groupBy("fund_ein", "community_id").agg(
         F.count("*").alias("_m"),

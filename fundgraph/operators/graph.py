@@ -13,6 +13,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import number, to_int
 from ..session import cut
 from .ranking import dense_index
 from .relational import keep_last, swap, to_undirected, valid_edges
@@ -51,13 +52,13 @@ def build_graph(
     m = keep_last(managers, "ein", "name")
     fund_nodes = f.select(
         node_id(FUND, "ein").alias("id"), F.lit(FUND).alias("label"), "ein", F.col("plan_name").alias("name"),
-        "sponsor_name", "fund_type", F.col("num_participants").try_cast("bigint").alias("num_participants"),
+        "sponsor_name", "fund_type", to_int("num_participants").alias("num_participants"),
         "admin_name", "state",
     )
     manager_nodes = m.select(
         node_id(MANAGER, "ein").alias("id"), F.lit(MANAGER).alias("label"), "ein", "name",
-        F.col("total_fees").try_cast("double").alias("total_fees"),
-        F.col("num_clients").try_cast("bigint").alias("num_clients"),
+        number("total_fees").alias("total_fees"),
+        to_int("num_clients").alias("num_clients"),
     )
     # the loaded nodes are a stored table: edges and every algorithm read them again
     nodes = cut(fund_nodes.unionByName(manager_nodes, allowMissingColumns=True), "nodes")

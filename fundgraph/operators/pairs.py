@@ -27,7 +27,9 @@ def shared_key_pairs(
     ``keep`` may filter on a_<extra> / b_<extra> inside the join, before a row is
     emitted.
     """
-    sizes = rows.groupBy(key).agg(F.count("*").alias("_n")).filter("_n > 1")
+    # a stored table of sizes makes the join a plain one, in which the engine splits a hot key;
+    # the copies of its rows are then made by all tasks
+    sizes = cut(rows.groupBy(key).agg(F.count("*").alias("_n")).filter("_n > 1"), "sizes")
     cells = (
         rows.select(key, item, *extra)
         .join(sizes, key)
@@ -77,7 +79,7 @@ def shared_totals(fm: DataFrame) -> DataFrame:
     over partners equals the sum over managers: linear in the edges.
     """
     d = cut(fm.select("fund_ein", "manager_ein").distinct(), "pairs")
-    clients = d.groupBy("manager_ein").agg(F.count("*").alias("_clients")).filter("_clients > 1")
+    clients = cut(d.groupBy("manager_ein").agg(F.count("*").alias("_clients")).filter("_clients > 1"), "sizes")
     return (
         d.join(clients, "manager_ein")
         .groupBy(F.col("fund_ein").alias("ein"))

@@ -10,18 +10,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import normalize_ein
-from ..schema import FILINGS, PROVIDER_LINES
+from ..functions.columns import INTEGERS, normalize_ein, number, to_int
+from ..schema import FILINGS
+from ..session import cut
 
 
 def select_filing_cols(df: DataFrame) -> DataFrame:
     return df.select(*FILINGS.fieldNames())
 
 
-def select_line_cols(df: DataFrame) -> DataFrame:
-    return df.select(*PROVIDER_LINES.fieldNames())
-
-
 def rename_cols(df: DataFrame, names: Sequence[str] | Mapping[str, str]) -> DataFrame:
     """Rename by position (list) or by name (mapping)."""
     if isinstance(names, Mapping):
@@ -99,7 +96,7 @@ def fill_all(df: DataFrame, value: str) -> DataFrame:
 
 def cast_props(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Cast named columns; values that do not parse become null."""
-    return df.withColumns({c: F.col(c).try_cast(t) for c, t in types.items()})
+    return df.withColumns({c: to_int(c, t) if t in INTEGERS else number(c) if t == "double" else F.col(c).try_cast(t) for c, t in types.items()})
 
 
 def update_from(nodes: DataFrame, patch: DataFrame, key: str) -> DataFrame:
@@ -122,7 +119,8 @@ def attach_fund(lines: DataFrame, filings: DataFrame) -> DataFrame:
 
 
 def with_group_size(df: DataFrame, key: str, name: str = "group_size") -> DataFrame:
-    return df.join(df.groupBy(key).agg(F.count("*").alias(name)), key, "left")
+    """Rows with the size of their group; the sizes are stored, so a hot group's join is split."""
+    return df.join(cut(df.groupBy(key).agg(F.count("*").alias(name)), "sizes"), key, "left")
 
 
 def lookup(df: DataFrame, mapping: DataFrame, key: str) -> DataFrame:
@@ -132,7 +130,9 @@ def lookup(df: DataFrame, mapping: DataFrame, key: str) -> DataFrame:
 
 
 def attach_scores(managers: DataFrame, scores: DataFrame, key: str = "ein") -> DataFrame:
-    return managers.join(scores.select(key, "pagerank_score", "community_id"), key, "left")
+    """One score row per key: the one with the largest score, if a key has several."""
+    best = scores.groupBy(key).agg(F.max(F.struct("pagerank_score", "community_id")).alias("s"))
+    return managers.join(best.select(key, "s.pagerank_score", "s.community_id"), key, "left")
 
 
 def assemble_features(funds: DataFrame, *parts: DataFrame, key: str = "ein") -> DataFrame:

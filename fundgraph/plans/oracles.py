@@ -1,14 +1,37 @@
-"""DuckDB text for the registered queries, written independently of the operators."""
+"""DuckDB text for the registered queries.
+
+Only the mapping of the test tables is shared with the engine; patterns, word
+lists and codes are written out here again, so that a wrong one shows.
+"""
 
 from __future__ import annotations
 
-from ..functions.columns import FUND_TYPES, MISSING
-from ..functions.names import COMPANY_MARKS, LEGAL_WORDS
 from ..schema import FUND_COLUMNS
 from ..sources.star import FILING_SELECT, HASH_NAME, LINE_SELECT
 
 SQL: dict[str, str] = {}
 
+# Texts a default CSV reader takes as missing.
+MISSING = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
+    "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+
+# Plan entity codes.
+FUND_TYPES = {1: "Single Employer", 2: "Multi Employer", 3: "Multiple Employer", 4: "DFE"}
+
+# Legal and industry words removed from company names.
+LEGAL_WORDS = (
+    "LLC", "INC", "CORP", "LTD", "LP", "NA", "CO", "GROUP", "ADVISORS", "ADVISORY",
+    "MANAGEMENT", "TRUST", "SERVICES", "FINANCIAL", "INVESTMENTS", "CAPITAL",
+)
+
+# Substrings that mark a name as a company.
+COMPANY_MARKS = (
+    "LLC", "INC", "CORP", "TRUST", "FUND", "MANAGEMENT", "ADVISORS", "FINANCIAL",
+    "CAPITAL", "SERVICES", "GROUP", "INSURANCE", "RETIREMENT", "PENSION", "INVESTMENT",
+)
+
 MISSING_LIST = ", ".join(f"'{m}'" for m in MISSING)
 
 
@@ -17,11 +40,19 @@ def nn(c: str) -> str:
 
 
 def ein(c: str) -> str:
-    return f"cast(cast(trunc(try_cast({c} AS double)) AS bigint) AS varchar)"
+    return f"cast(cast(trunc({num(c)}) AS bigint) AS varchar)"
+
+
+B = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
 def strip(c: str) -> str:
-    return f"regexp_replace({c}, '^\\s+|\\s+$', '', 'g')"
+    return f"regexp_replace({c}, '^{B}+|{B}+$', '', 'g')"
+
+
+def num(c: str) -> str:
+    x = strip(f"cast({c} AS varchar)")
+    return f"CASE WHEN regexp_matches({x}, '^[+-]?(\\d+\\.?\\d*|\\.\\d+)([eE][+-]?\\d+)?$') THEN try_cast({x} AS double) END"
 
 
 FUND_TYPE = "CASE fund_type_code " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in FUND_TYPES.items()) + " ELSE 'Unknown' END"
@@ -36,7 +67,7 @@ renamed AS (SELECT {", ".join(f"{a} AS {b}" for a, b in FUND_COLUMNS.items())} F
 fund_rows AS (
   SELECT ack_id, {ein("ein")} AS ein, plan_name, sponsor_name, fund_type_code, num_participants,
          {nn("admin_name")} AS admin_name, admin_ein, state, {FUND_TYPE} AS fund_type, -1 AS label
-  FROM renamed WHERE ein IS NOT NULL),
+  FROM renamed WHERE {ein("ein")} IS NOT NULL),
 funds AS (SELECT * EXCLUDE rn FROM (SELECT *, row_number() OVER (PARTITION BY ein ORDER BY ack_id) AS rn FROM fund_rows) WHERE rn = 1),
 managers AS (
   SELECT {ein("PROVIDER_OTHER_EIN")} AS ein, upper({strip("PROVIDER_OTHER_NAME")}) AS name,
@@ -117,15 +148,15 @@ sql("keep_last_payment", """SELECT fund_ein, manager_ein, cast(fee_paid AS doubl
 sql("normalize_names", f"SELECT upper({strip('PROVIDER_OTHER_NAME')}) AS name, count(*) AS lines FROM lines GROUP BY ALL")
 sql("fund_manager_edges", "SELECT fund_ein, manager_ein, manager_name, cast(fee_paid AS double) AS fee_paid FROM edges")
 sql("distinct_fund_manager_pairs", "SELECT DISTINCT fund_ein, manager_ein FROM edges")
-sql("number_coercion", """SELECT ACK_ID, cast(line_no AS varchar) AS line_key, coalesce(try_cast(PROVIDER_OTHER_EIN AS double), 0) AS ein_number,
-  coalesce(try_cast(PROVIDER_OTHER_NAME AS double), -1) AS name_number, coalesce(cast(PROVIDER_OTHER_DIRECT_COMP_AMT AS double), 0) AS fee FROM lines""")
+sql("number_coercion", f"""SELECT ACK_ID, cast(line_no AS varchar) AS line_key, coalesce({num("PROVIDER_OTHER_EIN")}, 0) AS ein_number,
+  coalesce({num("PROVIDER_OTHER_NAME")}, -1) AS name_number, coalesce(cast(PROVIDER_OTHER_DIRECT_COMP_AMT AS double), 0) AS fee FROM lines""")
 sql("fill_feature_defaults", f"SELECT ein, num_managers, total_fees, total_shared_managers, {RATIOS} FROM features")
 sql("fill_all_text", "SELECT ACK_ID, coalesce(SPONS_DFE_EIN, '0') AS SPONS_DFE_EIN FROM filings")
 sql("clip_values", """SELECT ACK_ID, line_no, CASE WHEN f IS NOT NULL THEN greatest(0.0, least(1.0, f)) END AS unit,
   CASE WHEN f IS NOT NULL THEN greatest(0.0, least(1e6, f)) END AS million
   FROM (SELECT *, cast(PROVIDER_OTHER_DIRECT_COMP_AMT AS double) AS f FROM lines)""")
-sql("cast_properties", """SELECT ACK_ID, try_cast(SPONS_DFE_EIN AS double) AS SPONS_DFE_EIN, try_cast(ADMIN_NAME AS int) AS ADMIN_NAME,
-  try_cast(ADMIN_EIN AS bigint) AS ADMIN_EIN FROM filings""")
+sql("cast_properties", f"""SELECT ACK_ID, try_cast(SPONS_DFE_EIN AS double) AS SPONS_DFE_EIN, try_cast(ADMIN_NAME AS int) AS ADMIN_NAME,
+  cast({num("ADMIN_EIN")} AS bigint) AS ADMIN_EIN FROM filings""")
 sql("update_managers", """SELECT ein, spellings, community_id, same_parent_flag FROM (SELECT ein, count(*) AS spellings FROM managers GROUP BY ein)
   LEFT JOIN attrs ON ein = manager_ein""")
 sql("lines_with_fund", "SELECT lines.ACK_ID, line_no, PROVIDER_OTHER_EIN, SPONS_DFE_EIN FROM lines LEFT JOIN filings USING (ACK_ID)")
@@ -143,7 +174,7 @@ sql("total_fees_per_fund", "SELECT fund_ein AS ein, cast(coalesce(sum(fee_paid),
 sql("top_manager_concentration", "SELECT ein, round(top_manager_concentration, 6) AS top_manager_concentration FROM profile")
 sql("shared_manager_totals", "SELECT ein, total_shared_managers, total_shared_managers AS by_clients FROM shared")
 sql("shared_manager_totals_concat", """SELECT fund_a AS ein, CASE WHEN n > 309 THEN 0.0 ELSE coalesce(try_cast(t AS double), 0.0) END AS total_shared_managers
-  FROM (SELECT fund_a, length(t) AS n, t FROM (SELECT fund_a, string_agg(cast(shared_managers AS varchar), '' ORDER BY fund_b) AS t FROM shares GROUP BY ALL))""")
+  FROM (SELECT fund_a, length(ltrim(t, '0')) AS n, t FROM (SELECT fund_a, string_agg(cast(shared_managers AS varchar), '' ORDER BY fund_b) AS t FROM shares GROUP BY ALL))""")
 sql("community_concentration", """SELECT ein, num_managers AS total_managers, manager_community_count,
   round(community_concentration, 6) AS community_concentration FROM profile""")
 sql("same_parent_fee_ratio", "SELECT ein, total_fees, round(same_parent_fee_ratio, 6) AS same_parent_fee_ratio FROM profile")
@@ -178,16 +209,16 @@ def clean(c: str) -> str:
     x = strip(f"upper({c})")
     x = f"regexp_replace({x}, '\\b(" + "|".join(LEGAL_WORDS) + ")\\b', '', 'g')"
     x = strip(f"regexp_replace({x}, '[^A-Z0-9 ]', '', 'g')")
-    return f"regexp_replace({x}, '\\s+', ' ', 'g')"
+    return f"regexp_replace({x}, '{B}+', ' ', 'g')"
 
 
 def tokens(c: str) -> str:
-    return f"array_to_string(list_sort(list_filter(string_split_regex({c}, '\\s+'), lambda t: t <> '')), ' ')"
+    return f"array_to_string(list_sort(list_filter(string_split_regex({c}, '{B}+'), lambda t: t <> '')), ' ')"
 
 
 def person(c: str) -> str:
     marks = " OR ".join(f"contains(upper({c}), '{m}')" for m in COMPANY_MARKS)
-    return f"(len(list_filter(string_split_regex({c}, '\\s+'), lambda t: t <> '')) <= 3 AND NOT ({marks}))"
+    return f"(len(list_filter(string_split_regex({c}, '{B}+'), lambda t: t <> '')) <= 3 AND NOT ({marks}))"
 
 
 FULL = (1 << 62) - 1

@@ -82,20 +82,20 @@ def risk_labels(spark, d):
 # ---- sources and sinks
 
 
-def _round_trip(df: DataFrame, reader: Callable, fmt: str = "csv") -> DataFrame:
+def _round_trip(df: DataFrame, reader: Callable, fmt: str = "csv", encoding: str = "UTF-8") -> DataFrame:
     path = scratch_path(df.sparkSession, "file")
-    tables.write_table(df, path, fmt)
+    tables.write_table(df, path, fmt, encoding)
     return reader(path)
 
 
 @query
 def read_filings_csv(spark, d):
-    return _round_trip(star.filings(spark, d), lambda p: tables.read_filings(spark, p))
+    return _round_trip(star.filings(spark, d), lambda p: tables.read_filings(spark, p), encoding=tables.RAW)
 
 
 @query
 def read_provider_lines_csv(spark, d):
-    out = _round_trip(star.provider_lines(spark, d, named=True), lambda p: tables.read_provider_lines(spark, p))
+    out = _round_trip(star.provider_lines(spark, d, named=True), lambda p: tables.read_provider_lines(spark, p), encoding=tables.RAW)
     return out.withColumns(dbl("PROVIDER_OTHER_DIRECT_COMP_AMT"))
 
 

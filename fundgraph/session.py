@@ -41,12 +41,6 @@ def get_spark(app: str = "fundgraph", cores: str = "*", **conf: str) -> SparkSes
     return spark
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    for k, v in SETTINGS.items():
-        spark.conf.set(k, v)
-    return spark
-
-
 def shared_root(spark: SparkSession) -> str:
     """Folder for intermediate tables: ``spark.checkpoint.dir`` of the session.
 
@@ -74,19 +68,16 @@ def cut(df: DataFrame, name: str = "t") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
 
 
 def discard(*tables: DataFrame | None) -> None:
-    """Delete tables made by :func:`cut` that no later plan reads."""
+    """Delete tables made by :func:`cut` that no later plan reads; other frames are left alone."""
     for t in tables:
-        if t is None:
-            continue
-        spark = t.sparkSession
-        jvm = spark._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        marker = f"/fundgraph-{spark.sparkContext.applicationId}/"
-        for folder in {f.rsplit("/", 1)[0] for f in t.inputFiles()}:
-            if marker in folder:
-                p = jvm.org.apache.hadoop.fs.Path(folder)
-                p.getFileSystem(conf).delete(p, True)
+        path = getattr(t, "__dict__", {}).get("scratch_path")
+        if path is not None:
+            context = t.sparkSession.sparkContext
+            p = context._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(context._jsc.hadoopConfiguration()).delete(p, True)

@@ -2,8 +2,9 @@
 
 orders = plan filings (one fund per customer and order year), lineitem = payment
 lines to providers (parts).  Dirty values follow ordinary columns: order status
-sets the EIN's spelling, cheap orders lack a sponsor EIN, tax and discount rates
-set missing, zero and negative fees.  No row is left out.
+sets the EIN's spelling, cheap orders lack a sponsor EIN, the next cheapest have one
+that is no number or carries a type letter, names hold line breaks and no-break
+spaces, tax and discount rates set missing, zero and negative fees.  No row is left out.
 """
 
 from __future__ import annotations
@@ -16,15 +17,17 @@ FUND_EIN = "o_custkey * 100 + (year(o_orderdate) - 1990)"
 FILING_SELECT = [
     "cast(o_orderkey as string) AS ACK_ID",
     f"CASE WHEN o_totalprice < 10000 THEN NULL "
+    f"WHEN o_totalprice < 12000 THEN 'PENDING' "
+    f"WHEN o_totalprice < 14000 THEN concat(cast({FUND_EIN} as string), 'D') "
     f"WHEN o_orderstatus = 'F' THEN concat('0', cast({FUND_EIN} as string), '.0') "
     f"WHEN o_orderstatus = 'P' THEN concat(cast({FUND_EIN} as string), '.0') "
     f"ELSE cast({FUND_EIN} as string) END AS SPONS_DFE_EIN",
     "concat('Plan ', cast(o_custkey as string), ', ', substr(o_orderpriority, 3)) AS PLAN_NAME",
-    "concat('Sponsor \"', cast(o_custkey as string), '\"') AS SPONSOR_DFE_NAME",
+    "concat('Sponsor \"', cast(o_custkey as string), '\"', CASE WHEN o_orderpriority = '1-URGENT' THEN concat(chr(10), 'Trust') ELSE '' END) AS SPONSOR_DFE_NAME",
     "cast(substr(o_orderpriority, 1, 1) as int) AS TYPE_PLAN_ENTITY_CD",
     "cast(floor(o_totalprice / 100) as bigint) AS TOT_ACTIVE_PARTCP_CNT",
     "CASE WHEN o_orderstatus = 'P' THEN 'NA' ELSE concat('Admin ', cast(o_custkey as string)) END AS ADMIN_NAME",
-    "cast(o_custkey as string) AS ADMIN_EIN",
+    "concat(cast(o_custkey as string), CASE WHEN o_orderstatus = 'P' THEN '.0' WHEN o_totalprice < 12000 THEN 'f' ELSE '' END) AS ADMIN_EIN",
     "o_orderstatus AS SPONS_DFE_MAIL_US_STATE",
 ]
 
@@ -35,7 +38,7 @@ LINE_SELECT = [
     "CASE l_linenumber WHEN 1 THEN concat(u, ' ', v, ' LLC') "
     "WHEN 2 THEN concat(' ', lower(v), ' ', lower(u), ', Inc. ') "
     "WHEN 3 THEN concat(substr(u, 1, 3), substr(u, 5), ' ', v, ' Capital Group') "
-    "WHEN 4 THEN concat(u, ' ', v) "
+    "WHEN 4 THEN concat(chr(160), u, ' ', v, chr(160)) "
     "ELSE concat(u, ' ', v, ' Trust Co.') END AS PROVIDER_OTHER_NAME",
     "CASE WHEN l_tax = 0.08 THEN NULL "
     "WHEN l_returnflag = 'R' THEN concat('0', cast(l_partkey as string), '.0') "
