@@ -40,6 +40,9 @@ from fundgraph.llm.text_arrays import flat, mix, powers, prefix_hash, stretch_ha
 PART_BYTES = 32 << 20
 BATCHES = 4
 
+#: Shards for each partition: what an index needs is a multiple of its shard's segments, so shards are small.
+SHARDS = 16
+
 #: Symbols handled at a time.
 CHUNK = 1 << 20
 
@@ -219,7 +222,7 @@ def shared_stretches(docs: DataFrame, scheme: Scheme) -> tuple[DataFrame, DataFr
             starts, sizes, key = np.concatenate([starts[held], one]), np.concatenate([windows[held] + window - 1, np.full(len(one), window)]), anchor[held]
             content = stretch_hash(prefix, starts, starts + sizes)
             # the whole-window segments of hot anchors go where their own hash says
-            shard = (np.concatenate([key, content[len(key) :]]) // np.uint64(n) % np.uint64(n)).astype(np.int64)
+            shard = (np.concatenate([key, content[len(key) :]]) // np.uint64(n) % np.uint64(n * SHARDS)).astype(np.int64)
             parts.append((starts + low, sizes, content, shard))
         starts, sizes, content, shard = (np.concatenate(x) for x in zip(*parts))
         of = np.searchsorted(offsets, starts, "right") - 1

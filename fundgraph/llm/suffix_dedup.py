@@ -48,14 +48,13 @@ def enhanced_suffix_array(symbols: np.ndarray, size: np.ndarray, least: int) ->
         key = key * 512 + np.where(here + j < end, padded[j : j + n], 0)
     known, ranks = 7, []
     while True:
-        rank = np.unique(key, return_inverse=True)[1]
+        rank = np.unique(key, return_inverse=True)[1].astype(np.int32)
         ranks.append((known, rank))
         if known >= size.max(initial=0):
             break
-        follow = np.zeros(n, np.int64)
-        inside = here + known < end
-        follow[inside] = rank[here[inside] + known] + 1
-        key = rank * (n + 1) + follow
+        inside = np.flatnonzero(here + known < end)
+        key = rank * np.int64(n + 1)
+        key[inside] += rank[inside + known] + 1
         known *= 2
     long = np.flatnonzero(end - here >= least)
     order = long[np.argsort(rank[long], kind="stable")]
