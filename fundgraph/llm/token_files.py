@@ -23,6 +23,8 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import compress
+from operator import not_
 
 import numpy as np
 import pyarrow as pa
@@ -44,10 +46,22 @@ PART_BYTES = 32 << 20
 #: Encoded stretches that a worker remembers in each of two generations, and the longest that is worth it (characters).
 REMEMBERED, LONGEST = 200_000, 48
 
-#: A run of blanks begins a token whatever stands before it, so a text may be cut there and its stretches be encoded one by one.
-STRETCH = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+#: Where a token begins whatever stands around it: at a run of blanks, and after a word of common letters that no further word character follows.
+#: A text may be cut there and its stretches be encoded one by one.
+STRETCH = re.compile(r"[ \n]*+(?:[A-Za-zÀ-ÖØ-öø-ɏ]++(?!\w)|[^ \n]++)|[ \n]++")
 #: White space other than these two (for any version of Unicode) joins with blanks in ways a stretch can't see.
-OTHER_BLANKS = re.compile("[^\\S \n]|[᠎​⁠﻿\x1c-\x1f\x85]")
+OTHER_BLANKS = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u180e" + "".join(map(chr, range(0x2000, 0x200C))) + "\u2028\u2029\u202f\u205f\u2060\u3000\ufeff"
+
+
+class Known(dict):
+    """Ids of stretches; one that is asked for and not known is noted."""
+
+    def __init__(self) -> None:
+        self.missing: list[str] = []
+
+    def __missing__(self, part: str) -> bytes:
+        self.missing.append(part)
+        return b""
 
 
 class Encoder:
@@ -67,8 +81,7 @@ class Encoder:
         self.bytes_of = np.zeros(max(names.values()) + 1, np.int64)
         for name, i in names.items():
             self.bytes_of[i] = len(name)
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.known, self.older = Known(), Known()
 
     def plain(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
@@ -92,16 +105,32 @@ class Encoder:
 
     def encode(self, batch: list[str]) -> list[bytes]:
         if len(self.known) > REMEMBERED:
-            self.known, self.older = {}, self.known
-        cut = [None if OTHER_BLANKS.search(t) else STRETCH.findall(t) for t in batch]
-        missing = set().union(*(c for c in cut if c)).difference(self.known)
-        again = [p for p in missing if p in self.older]
-        self.known.update((p, self.older[p]) for p in again)
+            self.known, self.older = Known(), self.known
+        known, older, out, later = self.known, self.older, [], []
+        for i, text in enumerate(batch):
+            if any(c in text for c in OTHER_BLANKS):
+                out.append(self.plain(text).tobytes())
+                continue
+            parts, before = STRETCH.findall(text), len(known.missing)
+            found = list(map(known.__getitem__, parts))
+            if len(known.missing) > before:
+                gaps = list(compress(range(len(found)), map(not_, found)))
+                later.append((i, found, gaps, known.missing[before:]))
+                out.append(b"")
+            else:
+                out.append(b"".join(found))
+        missing = set(known.missing)
+        known.missing = []
+        again = [p for p in missing if p in older]
+        known.update((p, older[p]) for p in again)
         new = list(missing.difference(again))
-        self.known.update(zip(new, self.stretches(new), strict=True))
-        out = [self.plain(t).tobytes() if c is None else b"".join(map(self.known.__getitem__, c)) for t, c in zip(batch, cut)]
+        known.update(zip(new, self.stretches(new), strict=True))
+        for i, found, gaps, parts in later:
+            for gap, part in zip(gaps, parts, strict=True):
+                found[gap] = known[part]
+            out[i] = b"".join(found)
         for part in [p for p in new if len(p) > LONGEST]:
-            del self.known[part]
+            del known[part]
         return out
 
 
