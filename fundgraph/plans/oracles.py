@@ -134,6 +134,10 @@ sql("read_strings_csv", "SELECT ein, name, cast(cast(total_fees AS decimal(28,2)
 sql("read_scores_csv", """SELECT ein, cast(NULL AS varchar) AS community_id, 0.0::double AS betweenness_score, num_managers AS total_managers,
   manager_community_count, round(community_concentration, 6) AS community_concentration, total_fees,
   round(same_parent_fee_ratio, 6) AS same_parent_fee_ratio, 0 AS in_circular_pattern FROM profile""")
+sql("read_manager_scores_csv", """SELECT ein, name, CASE WHEN p_size <= 45 THEN p_size / 100.0 END::double AS pagerank_score, num_clients, total_fees::double AS total_fees,
+  same_parent_flag, ein::bigint AS parent_group_id, group_size, p_type AS community_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY ein ORDER BY name DESC) AS rn, count(*) OVER (PARTITION BY ein) AS group_size FROM managers)
+  LEFT JOIN attrs ON ein = manager_ein LEFT JOIN part ON ein = p_partkey::varchar WHERE rn = 1""")
 sql("write_table_parquet", "SELECT * FROM funds")
 sql("missing_markers", f"SELECT ACK_ID, {nn('ADMIN_NAME')} AS ADMIN_NAME FROM filings")
 sql("select_and_rename_filings", "SELECT * FROM renamed")
@@ -178,6 +182,13 @@ sql("shared_manager_totals_concat", """SELECT fund_a AS ein, CASE WHEN n > 309 T
 sql("community_concentration", """SELECT ein, num_managers AS total_managers, manager_community_count,
   round(community_concentration, 6) AS community_concentration FROM profile""")
 sql("same_parent_fee_ratio", "SELECT ein, total_fees, round(same_parent_fee_ratio, 6) AS same_parent_fee_ratio FROM profile")
+sql("same_parent_fee_ratio_last", """SELECT fund_ein AS ein, sum(fee)::double AS total_fees, round(CASE WHEN sum(fee) = 0 THEN 0.0
+  ELSE coalesce(sum(fee) FILTER (WHERE same_parent_flag = 1), 0)::double / sum(fee)::double END, 6) AS same_parent_fee_ratio
+  FROM (SELECT fund_ein, manager_ein, coalesce(fee_paid, 0) AS fee FROM (SELECT *, row_number() OVER (PARTITION BY fund_ein, manager_ein
+    ORDER BY ACK_ID DESC NULLS LAST, line_no DESC NULLS LAST, fee_paid DESC NULLS LAST) AS rn FROM edges) WHERE rn = 1) LEFT JOIN attrs USING (manager_ein) GROUP BY ALL""")
+sql("shared_totals_of_hubs", """SELECT f AS ein, sum(c - 1)::bigint AS total_shared_managers FROM (
+  SELECT f, count(*) OVER (PARTITION BY s_nationkey) AS c FROM (SELECT DISTINCT cast(o_custkey * 100 + (year(o_orderdate) - 1990) AS varchar) AS f, s_nationkey
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey)) GROUP BY f""")
 sql("fund_profile", f"SELECT ein, num_managers, total_fees, coalesce(total_shared_managers, 0) AS total_shared_managers, manager_community_count, {RATIOS} FROM profile LEFT JOIN shared USING (ein)")
 sql("table_row_counts", " UNION ALL ".join(f"SELECT '{t}' AS \"table\", count(*) AS rows FROM {t}" for t in ("filings", "lines", "funds", "managers", "edges")))
 sql("risk_score_distribution", "SELECT risk_score, count(*) AS count FROM training GROUP BY ALL")
@@ -319,17 +330,13 @@ sum_e AS MATERIALIZED (SELECT 'PensionFund:' || fund_ein AS src, 'AssetManager:'
   WHERE fund_ein IN (SELECT ein FROM funds) AND manager_ein IN (SELECT ein FROM managers) GROUP BY ALL)"""
 
 sql("graph_nodes", "SELECT * FROM gnodes", GRAPH)
-sql("graph_edges", "SELECT * FROM gedges", GRAPH)
+sql("graph_edges", """SELECT * FROM gedges UNION ALL SELECT 'PensionFund:' || fund_a, 'PensionFund:' || fund_b, 'SHARES_MANAGER_WITH', shared_managers::double
+  FROM shares WHERE fund_a < fund_b AND fund_a IN (SELECT ein FROM funds) AND fund_b IN (SELECT ein FROM funds)""", GRAPH)
 sql("graph_label_counts", "SELECT label, count(*) AS count FROM gnodes GROUP BY ALL", GRAPH)
 sql("project_reverse", "SELECT dst AS src, src AS dst, type, weight FROM gedges", GRAPH)
 sql("induced_manager_subgraph", """SELECT 'nodes' AS "table", count(*) AS rows FROM gnodes WHERE label = 'AssetManager'
   UNION ALL SELECT 'edges', count(*) FROM gedges WHERE src IN (SELECT id FROM gnodes WHERE label = 'AssetManager')""", GRAPH)
 sql("expand_allocations", "SELECT a.ein AS src_ein, b.ein AS dst_ein, weight FROM gedges JOIN gnodes a ON a.id = src JOIN gnodes b ON b.id = dst", GRAPH)
-sql("fund_score_export", """SELECT ein, cast(NULL AS varchar) AS community_id, cast(NULL AS double) AS betweenness_score, num_managers AS total_managers,
-  manager_community_count, round(community_concentration, 6) AS community_concentration, total_fees, round(same_parent_fee_ratio, 6) AS same_parent_fee_ratio,
-  cast(NULL AS int) AS in_circular_pattern FROM funds LEFT JOIN profile USING (ein)""")
-sql("manager_score_export", """SELECT ein, name, cast(NULL AS double) AS pagerank_score, num_clients, total_fees, same_parent_flag,
-  cast(NULL AS bigint) AS parent_group_id, cast(NULL AS bigint) AS group_size, community_id FROM mgr_n LEFT JOIN attrs ON ein = manager_ein""", GRAPH)
 sql("undirected_edges", "SELECT fund_ein, manager_ein, 'forward' AS rel FROM fees UNION ALL SELECT manager_ein, fund_ein, 'reverse' FROM fees")
 
 
@@ -383,19 +390,44 @@ def bc_select(nodes: str, k: int) -> str:
 
 
 sql("betweenness_sampled", bc_select("gnodes", 16), f"{GRAPH}, bc_src AS (SELECT src, dst FROM gedges), {brandes('gnodes', 16, 12)}")
+sql("betweenness_exact", "SELECT id, round(coalesce(delta, 0.0) * 0.5 + 1e-7, 4) AS betweenness_score FROM nb_nodes LEFT JOIN bc ON node = id",
+    f"""bc_src AS MATERIALIZED (SELECT DISTINCT 'nation:' || c_nationkey AS src, p_brand || ' ' || p_size AS dst FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  JOIN customer ON o_custkey = c_custkey JOIN part ON l_partkey = p_partkey),
+nb_nodes AS (SELECT src AS id FROM bc_src UNION SELECT dst FROM bc_src), {brandes('nb_nodes', 1 << 40, 8)}""")
 SHARED_EDGES = """sh AS MATERIALIZED (SELECT 'PensionFund:' || fund_a AS src, 'PensionFund:' || fund_b AS dst, shared_managers AS w FROM shares WHERE fund_a < fund_b),
 fnodes AS MATERIALIZED (SELECT 'PensionFund:' || ein AS id, fund_type FROM funds)"""
 sql("betweenness_funds_sampled", bc_select("fnodes", 4), f"{SHARED_EDGES}, bc_src AS (SELECT src, dst FROM sh), {brandes('fnodes', 4, 8)}")
-sql("similar_portfolios", """SELECT src, dst, round(similarity_score, 6) AS similarity_score FROM (
+SIMILAR = """SELECT src, dst, round(similarity_score, 6) AS similarity_score FROM (
   SELECT *, row_number() OVER (PARTITION BY src ORDER BY similarity_score DESC, dst) AS rn FROM (
     SELECT a.src, b.src AS dst, count(*) / (any_value(a.n) + any_value(b.n) - count(*)) AS similarity_score
-    FROM sized a JOIN sized b ON a.m = b.m AND a.src <> b.src GROUP BY a.src, b.src) WHERE similarity_score >= 0.5) WHERE rn <= 5""",
+    FROM sized a JOIN sized b ON a.m = b.m AND a.src <> b.src GROUP BY a.src, b.src) WHERE similarity_score >= 0.5) WHERE rn <= 5"""
+sql("similar_funds", SIMILAR, "sized AS MATERIALIZED (SELECT fund_ein AS src, manager_ein AS m, count(*) OVER (PARTITION BY fund_ein) AS n FROM fees)")
+sql("similar_portfolios", SIMILAR,
     f"""sets AS (SELECT DISTINCT ACK_ID AS src, {ein('PROVIDER_OTHER_EIN')} AS m FROM lines WHERE PROVIDER_OTHER_EIN IS NOT NULL),
 sized AS MATERIALIZED (SELECT *, count(*) OVER (PARTITION BY src) AS n FROM sets)""")
 sql("modularity_by_fund_type", """SELECT round(sum(inside) / sum(tot) - sum(tot * tot) / (sum(tot) * sum(tot)), 8) AS modularity FROM (
   SELECT a.fund_type AS c, sum(w)::double AS tot, coalesce(sum(w) FILTER (WHERE a.fund_type = b.fund_type), 0)::double AS inside
   FROM (SELECT src, dst, w FROM sh UNION ALL SELECT dst, src, w FROM sh) e JOIN fnodes a ON a.id = e.src JOIN fnodes b ON b.id = e.dst GROUP BY a.fund_type)""", SHARED_EDGES)
 
+# ---- the chain: entity groups and graph metrics into exports and labels
+
+CHAINED_ATTRS = """groups AS (SELECT ein, any_value(parent_group_id) AS parent_group_id, any_value(group_size) AS group_size, any_value(same_parent_flag) AS same_parent_flag FROM enriched GROUP BY ein),
+attrs AS MATERIALIZED (SELECT m.ein AS manager_ein, community_id, groups.same_parent_flag FROM (SELECT DISTINCT ein FROM managers) m LEFT JOIN attrs0 ON m.ein = attrs0.manager_ein LEFT JOIN groups ON m.ein = groups.ein)"""
+CHAIN = PRELUDE.replace("attrs AS (", "attrs0 AS (").replace("\nedges AS (", f"\n{greedy()},\n{CHAINED_ATTRS},\nedges AS (")
+CHAIN_BC = f"{GRAPH}, bc_src AS (SELECT src, dst FROM gedges), {brandes('gnodes', 16, 12)}, " + """between AS (
+  SELECT id, round(coalesce(delta, 0.0) * 0.5 * (SELECT count(*) FROM gnodes) / 16.0 + 1e-5, 2) AS score FROM gnodes LEFT JOIN bc ON node = id),
+segments AS (SELECT DISTINCT cast(o_custkey * 100 + (year(o_orderdate) - 1990) AS varchar) AS ein, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey)"""
+SQL["fund_score_export"] = f"""WITH {CHAIN}, {CHAIN_BC}
+SELECT ein, c_mktsegment AS community_id, score AS betweenness_score, num_managers AS total_managers, manager_community_count,
+  round(community_concentration, 6) AS community_concentration, total_fees, round(same_parent_fee_ratio, 6) AS same_parent_fee_ratio, 0 AS in_circular_pattern
+FROM funds LEFT JOIN profile USING (ein) LEFT JOIN segments USING (ein) LEFT JOIN between ON id = 'PensionFund:' || ein"""
+SQL["manager_score_export"] = f"""WITH {CHAIN}, {GRAPH}, {both_ways('gedges', '1.0::double')}, {rank_rounds('links')}
+SELECT mgr_n.ein, name, round(pr, 5) AS pagerank_score, num_clients, total_fees, attrs.same_parent_flag, parent_group_id, group_size, community_id
+FROM mgr_n LEFT JOIN r20 USING (id) LEFT JOIN attrs ON mgr_n.ein = manager_ein LEFT JOIN groups ON mgr_n.ein = groups.ein"""
+SQL["risk_labels_chained"] = f"""WITH {CHAIN}, {CHAIN_BC}
+SELECT ein, plan_name, fund_type, num_participants, num_managers, total_fees, round(fee_percentile, 6) AS fee_percentile, total_shared_managers,
+  score AS betweenness_score, in_circular_pattern, has_manager_data, risk_score, label, {RATIOS} FROM labelled JOIN between ON id = 'PensionFund:' || ein"""
+
 # ---- features, split, metrics
 
 FUND_X = """fund_x AS (SELECT ein, label, num_managers::double AS num_managers, top_manager_concentration, fee_percentile,
@@ -415,15 +447,20 @@ sql("standardized_fund_features", "SELECT ein, label, " + ", ".join(
 sql("stratified_split", """SELECT ein, label, CASE WHEN rn <= t THEN 'test' WHEN rn <= t + round((n - t) * 0.15) THEN 'val' ELSE 'train' END AS split FROM (
   SELECT *, round(n * 0.2) AS t FROM (SELECT ein, fund_type AS label, count(*) OVER (PARTITION BY fund_type) AS n,
     row_number() OVER (PARTITION BY fund_type ORDER BY md5(ein || '#42'), ein) AS rn FROM funds))""")
-sql("propagate_two_hops", """SELECT ein, round(num_managers + 1e-7, 5) AS num_managers, round(fee_percentile + 1e-7, 5) AS fee_percentile,
-  round(coalesce(a1, 0) + 1e-7, 5) AS num_clients_h1, round(coalesce(b1, 0) + 1e-7, 5) AS pagerank_score_h1,
-  round(coalesce(c2, 0) + 1e-7, 5) AS num_managers_h2, round(coalesce(d2, 0) + 1e-7, 5) AS fee_percentile_h2
-  FROM fund_x LEFT JOIN f1 USING (ein) LEFT JOIN f2 USING (ein)""", f"""{FUND_X}, {MANAGER_X},
-  mx AS (SELECT ein, arg_max(num_clients, name) AS num_clients, arg_max(pagerank_score, name) AS pagerank_score FROM manager_x GROUP BY ein),
+MANAGER_COLS = ("num_clients", "total_fees", "same_parent_flag", "group_size", "pagerank_score")
+
+
+def shifted(expr: str, name: str) -> str:
+    return f"round({expr} + 1e-4, 2) AS {name}" if name.startswith(("total_fees", "total_shared_managers")) else f"round({expr} + 1e-7, 5) AS {name}"
+
+
+sql("propagate_two_hops", "SELECT ein, " + ", ".join([*[shifted(c, c) for c in FUND_COLS], *[shifted(f"coalesce({c}_h1, 0)", f"{c}_h1") for c in MANAGER_COLS], *[shifted(f"coalesce({c}_h2, 0)", f"{c}_h2") for c in FUND_COLS]])
+    + " FROM fund_x LEFT JOIN f1 USING (ein) LEFT JOIN f2 USING (ein)", f"""{FUND_X}, {MANAGER_X},
+  mx AS (SELECT ein, {", ".join(f"arg_max({c}, name) AS {c}" for c in MANAGER_COLS)} FROM manager_x GROUP BY ein),
   ve AS (SELECT fund_ein, manager_ein FROM edges WHERE fund_ein IN (SELECT ein FROM fund_x) AND manager_ein IN (SELECT ein FROM mx)),
-  f1 AS (SELECT fund_ein AS ein, avg(num_clients) AS a1, avg(pagerank_score) AS b1 FROM ve JOIN mx ON manager_ein = ein GROUP BY fund_ein),
-  m1 AS (SELECT manager_ein AS ein, avg(num_managers) AS c1, avg(fee_percentile) AS d1 FROM ve JOIN fund_x ON fund_ein = ein GROUP BY manager_ein),
-  f2 AS (SELECT fund_ein AS ein, avg(c1) AS c2, avg(d1) AS d2 FROM ve JOIN m1 ON manager_ein = ein GROUP BY fund_ein)""")
+  f1 AS (SELECT fund_ein AS ein, {", ".join(f"avg({c}) AS {c}_h1" for c in MANAGER_COLS)} FROM ve JOIN mx ON manager_ein = ein GROUP BY fund_ein),
+  m1 AS (SELECT manager_ein AS ein, {", ".join(f"avg({c}) AS {c}" for c in FUND_COLS)} FROM ve JOIN fund_x ON fund_ein = ein GROUP BY manager_ein),
+  f2 AS (SELECT fund_ein AS ein, {", ".join(f"avg({c}) AS {c}_h2" for c in FUND_COLS)} FROM ve JOIN m1 ON manager_ein = ein GROUP BY fund_ein)""")
 
 PRED = """pred AS (SELECT doc_id, quality AS label, 1 - toxic AS prediction, (ascii(substr(md5(cast(doc_id AS varchar)), 1, 1)) - 40) / 80.0 AS p1 FROM labels),
 cls AS (SELECT c, count(*) FILTER (WHERE label = c) AS support, count(*) FILTER (WHERE prediction = c) AS predicted,

@@ -117,6 +117,16 @@ def read_scores_csv(spark, d):
     return out.withColumns(rnd(6, "community_concentration", "same_parent_fee_ratio"))
 
 
+@query
+def read_manager_scores_csv(spark, d):
+    one = R.keep_last(manager_table(spark, d), "ein", "name")
+    out = one.join(manager_score_table(spark, d), "ein", "left").select(
+        "ein", "name", "pagerank_score", "num_clients", F.col("total_fees").cast("double").alias("total_fees"), "same_parent_flag",
+        F.col("ein").cast("bigint").alias("parent_group_id"), "group_size", "community_id",
+    )
+    return _round_trip(out, lambda p: tables.read_manager_scores(spark, p))
+
+
 @query
 def write_table_parquet(spark, d):
     return _round_trip(funds(spark, d), lambda p: tables.read_table(spark, p, None, "parquet"), "parquet")
@@ -327,6 +337,20 @@ def same_parent_fee_ratio(spark, d):
     return out.withColumns({**dbl("total_fees"), **rnd(6, "same_parent_fee_ratio")})
 
 
+@query
+def same_parent_fee_ratio_last(spark, d):
+    """As the loaded graph gives it: each edge holds the last fee of its pair, not their sum."""
+    last = R.keep_last(edges(spark, d, ("ACK_ID", "line_no")), ["fund_ein", "manager_ein"], ["ACK_ID", "line_no", "fee_paid"])
+    out = A.same_parent_fee_ratio(last, star.manager_attributes(spark, d))
+    return out.withColumns({**dbl("total_fees"), **rnd(6, "same_parent_fee_ratio")})
+
+
+@query
+def shared_totals_of_hubs(spark, d):
+    """Each of the 25 providers is shared by very many funds."""
+    return P.shared_totals(star.nation_lines(spark, d))
+
+
 @query
 def fund_profile(spark, d):
     out = A.fund_profile(edges(spark, d), star.manager_attributes(spark, d))
@@ -475,9 +499,11 @@ def name_component_groups(spark, d):
 # ---- graph
 
 
-def graph(spark: SparkSession, d: str, fees: str = "last") -> G.Graph:
+def graph(spark: SparkSession, d: str, fees: str = "last", shares: bool = False) -> G.Graph:
+    """Funds, managers and payments; ``shares`` adds the edges between funds with common managers."""
     e = edges(spark, d, ("ACK_ID", "line_no"))
-    return G.build_graph(funds(spark, d), managers(spark, d), e, None, ("ACK_ID", "line_no", "fee_paid"), fees)
+    ff = P.fund_fund_edges(e) if shares else None
+    return G.build_graph(funds(spark, d), managers(spark, d), e, ff, ("ACK_ID", "line_no", "fee_paid"), fees)
 
 
 def shared_graph(spark: SparkSession, d: str) -> G.Graph:
@@ -498,7 +524,7 @@ def graph_nodes(spark, d):
 
 @query
 def graph_edges(spark, d):
-    return graph(spark, d).edges
+    return graph(spark, d, shares=True).edges
 
 
 @query
@@ -529,23 +555,51 @@ def undirected_edges(spark, d):
     return R.to_undirected(e, "fund_ein", "manager_ein", rel="rel")
 
 
-@query
-def fund_score_export(spark, d):
-    nodes = graph(spark, d).nodes.drop("total_fees")
-    prof = A.fund_profile(edges(spark, d), star.manager_attributes(spark, d))
-    metrics = prof.select(
+def chained_managers(spark: SparkSession, d: str, g: G.Graph) -> DataFrame:
+    """Manager nodes with their PageRank, name groups and (stored) community."""
+    both = G.project(g, [G.FUND, G.MANAGER], {G.ALLOCATED: "UNDIRECTED"})
+    groups = E.enrich_managers(managers(spark, d)).groupBy("ein").agg(*[F.max(c).alias(c) for c in ("parent_group_id", "group_size", "same_parent_flag")])
+    community = star.manager_attributes(spark, d).select(G.node_id(G.MANAGER, "manager_ein").alias("id"), "community_id")
+    nodes = G.with_property(g.nodes, PR.pagerank(both.nodes, both.edges))
+    nodes = G.with_property(nodes, groups.select(G.node_id(G.MANAGER, "ein").alias("id"), "parent_group_id", "group_size", "same_parent_flag"))
+    return cut(G.manager_scores(G.with_property(nodes, community)), "scores")
+
+
+def chained_funds(spark: SparkSession, d: str, g: G.Graph, scored_managers: DataFrame) -> DataFrame:
+    """Fund nodes with their (stored) community, betweenness, cycle flag and what follows from the managers' scores."""
+    attrs = scored_managers.select(F.col("ein").alias("manager_ein"), "community_id", "same_parent_flag")
+    metrics = A.fund_profile(edges(spark, d), attrs).select(
         G.node_id(G.FUND, "ein").alias("id"), F.col("num_managers").alias("total_managers"), "manager_community_count",
         "community_concentration", "total_fees", "same_parent_fee_ratio",
     )
-    out = G.fund_scores(G.with_property(nodes, metrics))
+    community = star.fund_communities(spark, d).select(G.node_id(G.FUND, "ein").alias("id"), "community_id")
+    nodes = G.with_property(G.with_property(g.nodes.drop("total_fees"), metrics), community)
+    nodes = G.with_property(nodes, BC.betweenness(g.nodes, g.edges, sample=16))
+    nodes = G.with_property(nodes, CC.circular_flag(CC.strongly_connected_components(g.edges, g.nodes)).drop("component"))
+    return cut(G.fund_scores(nodes), "scores")
+
+
+@query
+def fund_score_export(spark, d):
+    g = graph(spark, d)
+    out = scores_off_ties(chained_funds(spark, d, g, chained_managers(spark, d, g)))
     return out.withColumns(rnd(6, "community_concentration", "same_parent_fee_ratio"))
 
 
 @query
 def manager_score_export(spark, d):
-    attrs = star.manager_attributes(spark, d)
-    metrics = attrs.select(G.node_id(G.MANAGER, "manager_ein").alias("id"), "community_id", "same_parent_flag")
-    return G.manager_scores(G.with_property(graph(spark, d).nodes, metrics))
+    return chained_managers(spark, d, graph(spark, d)).withColumns(rnd(5, "pagerank_score"))
+
+
+@query
+def risk_labels_chained(spark, d):
+    """Labels from the exported scores: name groups, PageRank, betweenness and cycles of the loaded graph."""
+    g = graph(spark, d)
+    m = chained_managers(spark, d, g)
+    f = chained_funds(spark, d, g, m)
+    attrs = m.select(F.col("ein").alias("manager_ein"), "community_id", "same_parent_flag")
+    out = scores_off_ties(LB.labelled_funds(funds(spark, d), edges(spark, d), attrs, f))
+    return out.withColumns({**dbl("total_fees"), **rnd(6, "top_manager_concentration", "fee_percentile", "community_concentration", "same_parent_fee_ratio")})
 
 
 @query
@@ -604,6 +658,21 @@ def betweenness_funds_sampled(spark, d):
     return scores_off_ties(BC.betweenness(g.nodes, g.edges, sample=4))
 
 
+@query
+def betweenness_exact(spark, d):
+    """All nodes as sources, on the graph of customer nations and part kinds that every line is contracted to."""
+    e = star.nation_brands(spark, d)
+    nodes = e.select(F.col("src").alias("id")).union(e.select("dst")).distinct()
+    return BC.betweenness(nodes, e).withColumn("betweenness_score", F.round(F.col("betweenness_score") + 1e-7, 4))
+
+
+@query
+def similar_funds(spark, d):
+    """Funds that pay much the same managers."""
+    sets = R.distinct_pairs(edges(spark, d)).select(F.col("fund_ein").alias("src"), F.col("manager_ein").alias("dst"))
+    return SIM.node_similarity(sets).withColumns(rnd(6, "similarity_score"))
+
+
 @query
 def similar_portfolios(spark, d):
     """Filings that pay much the same providers."""
@@ -614,7 +683,8 @@ def similar_portfolios(spark, d):
 
 @query
 def louvain_communities(spark, d):
-    g = graph(spark, d)
+    """Payments and shared managers together, unweighted."""
+    g = graph(spark, d, shares=True)
     return LV.louvain(g.nodes, g.edges)
 
 
@@ -686,11 +756,12 @@ def stratified_split(spark, d):
 
 @query
 def propagate_two_hops(spark, d):
-    f = FT.fund_features(training(spark, d), ("ein",)).select("ein", "num_managers", "fee_percentile")
-    m = FT.manager_features(R.keep_last(manager_table(spark, d), "ein", "name"), manager_score_table(spark, d)).select("ein", "num_clients", "pagerank_score")
+    f = FT.fund_features(training(spark, d), ("ein",)).select("ein", *FT.FUND_FEATURES)
+    m = FT.manager_features(R.keep_last(manager_table(spark, d), "ein", "name"), manager_score_table(spark, d)).select("ein", *FT.MANAGER_FEATURES)
     out = FT.propagate(f, m, edges(spark, d), 2)
     # the means are simple fractions; a small shift keeps them off exact rounding ties
-    return out.withColumns({c: F.round(F.col(c) + 1e-7, 5) for c in out.columns if c != "ein"})
+    large = ("total_fees", "total_shared_managers")
+    return out.withColumns({c: F.round(F.col(c) + 1e-4, 2) if c.startswith(large) else F.round(F.col(c) + 1e-7, 5) for c in out.columns if c != "ein"})
 
 
 @query
@@ -738,12 +809,15 @@ def classifier_test_scores(spark, d):
 
 @query
 def layer_sweep(spark, d):
-    return MD.layer_sweep(model_in(spark, d), candidates=K.CANDIDATES[:1])
+    return MD.layer_sweep(model_in(spark, d))
 
 
 @query
 def ablations(spark, d):
-    return MD.ablations(model_in(spark, d), 2, candidates=K.CANDIDATES[:1])
+    """The variants at the number of hops that the sweep finds best."""
+    x = model_in(spark, d)
+    best = M.best_by(MD.layer_sweep(x), "layers", "f1").first()["layers"]
+    return MD.ablations(x, best)
 
 
 @query

@@ -82,6 +82,28 @@ def manager_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fund_communities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored partition of the funds, for checking what follows communities: the sponsor's market segment."""
+    od = table(spark, sf_dir, "orders").selectExpr("o_custkey", f"cast({FUND_EIN} as string) AS ein").distinct()
+    segments = table(spark, sf_dir, "customer").selectExpr("c_custkey AS o_custkey", "c_mktsegment AS community_id")
+    return od.join(segments, "o_custkey").select("ein", "community_id")
+
+
+def nation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Funds and the nations of the suppliers of their lines: 25 providers, each of which very many funds share."""
+    li, od = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey"), table(spark, sf_dir, "orders").selectExpr("o_orderkey", f"cast({FUND_EIN} as string) AS fund_ein")
+    su = table(spark, sf_dir, "supplier").selectExpr("s_suppkey", "cast(s_nationkey as string) AS manager_ein")
+    return li.join(od, li.l_orderkey == od.o_orderkey).join(su, li.l_suppkey == su.s_suppkey).select("fund_ein", "manager_ein")
+
+
+def nation_brands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line contracted to its customer's nation and its part's brand and size: distinct pairs."""
+    li, od = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey"), table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    cu = table(spark, sf_dir, "customer").selectExpr("c_custkey", "concat('nation:', cast(c_nationkey as string)) AS src")
+    pa = table(spark, sf_dir, "part").selectExpr("p_partkey", "concat(p_brand, ' ', cast(p_size as string)) AS dst")
+    return li.join(od, li.l_orderkey == od.o_orderkey).join(cu, od.o_custkey == cu.c_custkey).join(pa, li.l_partkey == pa.p_partkey).select("src", "dst").distinct()
+
+
 def entity_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Who paid whom, with sponsors and providers in one id space."""
     li = table(spark, sf_dir, "lineitem").selectExpr("l_orderkey", "cast(l_partkey as string) AS dst")
