@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Sub-batches of about this many bytes keep temporary arrays small whatever the batch holds.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
