@@ -40,8 +40,8 @@ from fundgraph.llm.text_arrays import flat, mix, powers, prefix_hash, stretch_ha
 PART_BYTES = 32 << 20
 BATCHES = 4
 
-#: Shards for each partition: what an index needs is a multiple of its shard's segments, so shards are small.
-SHARDS = 16
+#: Text for each shard: what an index needs is a multiple of its shard's segments, so shards are small.
+SHARD_BYTES = 1 << 20
 
 #: Symbols handled at a time.
 CHUNK = 1 << 20
@@ -141,12 +141,13 @@ def firsts(content: np.ndarray, size: np.ndarray, order: tuple[np.ndarray, ...])
     return sort, np.flatnonzero(new), np.cumsum(new) - 1
 
 
-def dealt(docs: DataFrame) -> tuple[DataFrame, int]:
-    """(batch, id, text_key, text) in one partitioning, and the number of its partitions."""
+def dealt(docs: DataFrame) -> tuple[DataFrame, int, int]:
+    """(batch, id, text_key, text) in one partitioning, the number of its partitions, and that of shards."""
     rows = texts(docs).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.xxhash64("text").alias("text_key"), "text")
-    n = parts_for(docs.sparkSession, total_bytes(rows), PART_BYTES)
+    size = total_bytes(rows)
+    n, shards = (parts_for(docs.sparkSession, size, each) for each in (PART_BYTES, SHARD_BYTES))
     batch = F.pmod(F.xxhash64("id", "text_key"), F.lit(n * BATCHES)).cast("int")
-    return rows.select(batch.alias("batch"), "id", "text_key", "text").repartition(n, "batch"), n
+    return rows.select(batch.alias("batch"), "id", "text_key", "text").repartition(n, "batch"), n, shards
 
 
 ANCHORS = "bucket int, batch int, anchors binary, counts binary"
@@ -174,7 +175,7 @@ def lengths(t: pa.Table, column: str, width: int) -> np.ndarray:
 
 def shared_stretches(docs: DataFrame, scheme: Scheme) -> tuple[DataFrame, DataFrame]:
     """The dealt documents, and (batch, ids, keys, starts, ends): stretches of their symbols to remove, in binary arrays."""
-    rows, n = dealt(docs)
+    rows, n, shards = dealt(docs)
     window, gram = scheme.window, scheme.gram
 
     def anchors(t: pa.Table) -> pa.Table:
@@ -222,7 +223,7 @@ def shared_stretches(docs: DataFrame, scheme: Scheme) -> tuple[DataFrame, DataFr
             starts, sizes, key = np.concatenate([starts[held], one]), np.concatenate([windows[held] + window - 1, np.full(len(one), window)]), anchor[held]
             content = stretch_hash(prefix, starts, starts + sizes)
             # the whole-window segments of hot anchors go where their own hash says
-            shard = (np.concatenate([key, content[len(key) :]]) // np.uint64(n) % np.uint64(n * SHARDS)).astype(np.int64)
+            shard = (np.concatenate([key, content[len(key) :]]) // np.uint64(n) % np.uint64(shards)).astype(np.int64)
             parts.append((starts + low, sizes, content, shard))
         starts, sizes, content, shard = (np.concatenate(x) for x in zip(*parts))
         of = np.searchsorted(offsets, starts, "right") - 1
