@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import clip, to_num
-from ..session import cut
+from ..session import cut, held
 from .ranking import running_before
 from .relational import attach_scores
 
@@ -90,8 +90,10 @@ def propagate(funds: DataFrame, managers: DataFrame, edges: DataFrame, k: int) -
         "links",
     )
 
+    by = {c: held(links, c) for c in ("fund_ein", "manager_ein")}
+
     def mean_of(x: DataFrame, at: str, to: str, cols: list[str], names: list[str]) -> DataFrame:
-        sent = links.join(x.withColumnRenamed("ein", at), at)
+        sent = by[at].join(x.withColumnRenamed("ein", at), at)
         sums = [(F.sum(F.col(c) * F.col("n")) / F.sum("n")).alias(o) for c, o in zip(cols, names)]
         return cut(sent.groupBy(F.col(to).alias("ein")).agg(*sums), "hop")
 
@@ -108,6 +110,8 @@ def propagate(funds: DataFrame, managers: DataFrame, edges: DataFrame, k: int) -
             manager_hop = mean_of(fund_hop.select("ein", *fc), "fund_ein", "manager_ein", fc, nm)
         fund_hop, fc, mc = new_f, nf, nm
         hops.append(new_f)
+    for x in by.values():
+        x.unpersist()
     out = reduce(lambda a, b: a.join(b, "ein", "left"), hops, funds)
     return out.fillna(0.0, subset=[c for h in hops for c in h.columns if c != "ein"])
 

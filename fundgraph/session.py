@@ -11,6 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 #: SQL settings the operators rely on; all can be changed at run time.
@@ -73,6 +74,15 @@ def cut(df: DataFrame, name: str = "t") -> DataFrame:
     return out
 
 
+def held(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` kept in one partitioning and order, for rounds that join it on ``keys`` again and again: it is shuffled once.
+
+    A part lost with its executor is computed again; ``unpersist`` lets it go.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *keys).sortWithinPartitions(*keys).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def discard(*tables: DataFrame | None) -> None:
     """Delete tables made by :func:`cut` that no later plan reads; other frames are left alone."""
     for t in tables:
