@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fundgraph.llm.common import WORD, words
 
@@ -29,12 +29,17 @@ MAX_EPOCHS = 3
 RANGE_ROWS = 1_000
 
 
+def source_key(source: Column) -> Column:
+    """Never null, so that plain equality joins it and one partitioning serves join and window."""
+    return F.coalesce(F.concat(F.lit("="), source), F.lit(""))
+
+
 def keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with mix_source, mix_size and the hash-random mix_key."""
+    """``docs`` with mix_source (a name for every source, null's too), mix_size and the hash-random mix_key."""
     text = F.coalesce(F.col("text"), F.lit(""))
     size = F.size(F.regexp_extract_all(text, F.lit(WORD), F.lit(0))).cast("long")
     key = F.md5(F.concat_ws(":", F.col("doc_id").cast("string"), F.md5(text)))
-    return docs.withColumns({"mix_source": F.col("source").cast("string"), "mix_size": size, "mix_key": key})
+    return docs.withColumns({"mix_source": source_key(F.col("source").cast("string")), "mix_size": size, "mix_key": key})
 
 
 def targets(sums: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MAX_EPOCHS) -> DataFrame:
@@ -69,13 +74,14 @@ def mix(docs: DataFrame, keep: list[str]) -> DataFrame:
     rows = keyed(docs).select(*keep, "mix_source", "mix_size", "mix_key", F.shiftright(place * n, 32).alias("mix_range"))
     # sums by range and source: at most n narrow rows for each source, combined before the shuffle
     ranges = rows.groupBy("mix_source", "mix_range").agg(F.sum("mix_size").alias("words"))
-    goal = targets(ranges.groupBy(F.col("mix_source").alias("source")).agg(F.sum("words").alias("source_size")))
+    sums = ranges.groupBy("mix_source").agg(F.sum("words").alias("source_size"))
+    goal = targets(sums.select(F.when(F.col("mix_source") != "", F.substr("mix_source", F.lit(2))).alias("source"), "source_size"))
+    goal = goal.select(source_key(F.col("source")).alias("mix_source"), F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"))
     running = Window.partitionBy("mix_source").orderBy("mix_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = ranges.withColumn("mix_offset", F.coalesce(F.sum("words").over(running), F.lit(0)))
-    known = offsets.join(goal, offsets.mix_source.eqNullSafe(goal.source)).select(
-        F.col("mix_source").alias("o_source"), F.col("mix_range").alias("o_range"), "mix_offset", F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target")
-    )
-    joined = rows.join(known, rows.mix_source.eqNullSafe(known.o_source) & (rows.mix_range == known.o_range)).drop("o_source", "o_range")
+    known = offsets.join(goal, "mix_source").select("mix_source", "mix_range", "mix_offset", "mix_source_size", "mix_target")
+    # join and window have the same keys: the rows are shuffled once
+    joined = rows.join(known, ["mix_source", "mix_range"])
     inside = Window.partitionBy("mix_source", "mix_range").orderBy("mix_key", F.col("doc_id").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
     before = F.col("mix_offset") + F.coalesce(F.sum("mix_size").over(inside), F.lit(0))
     placed = joined.withColumn("mix_before", before)
