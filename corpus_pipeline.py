@@ -28,8 +28,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each SimHash group: its smallest doc_id."""
-    return simhash.one_of_each(docs)
+    """Keeps one document of each SimHash group: its smallest doc_id. Rows without one stay, unless their texts are near."""
+    return simhash.one_of_each(docs, by_id=False)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ QUERIES: dict[str, Query] = {
     "op3_decontaminate": lambda spark, d: decontaminate.leaks(table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op4_quality_rules": lambda spark, d: quality_rules.digest(table(spark, d, "documents")),
     "op5_chat_format": lambda spark, d: chat.digest(chat.with_control_conversation(spark, table(spark, d, "conversations"))),
-    "op6_simhash": lambda spark, d: simhash.digest(table(spark, d, "documents")),
+    "op6_simhash": lambda spark, d: simhash.digest(table(spark, d, "documents"), by_id=False),
     "op7_mix_sources": lambda spark, d: mixing.digest(table(spark, d, "documents")),
     "op8_quality_classifier": lambda spark, d: quality_model.digest(table(spark, d, "documents"), table(spark, d, "labels")),
     "op9_token_files": lambda spark, d: token_files.digest(table(spark, d, "documents")),

@@ -13,8 +13,11 @@ of a group.
 
 Words are lower-cased in A-Z and split at ASCII white space; shingles keep
 repeats.  Nulls: a null text is empty and has fingerprint zero, which links like
-any other; a null doc_id comes after every other and is given back as null.  Rows
-that repeat a doc_id are one document, whatever their texts.  An empty table
+any other; a null doc_id comes after every other and is given back as null.  A
+group's component_id is its smallest doc_id, null if it has none.  The registered
+query and the pipeline link by fingerprints alone, so texts that share a doc_id, or
+have none, are told apart; ``by_id`` (the default of the functions) also makes the
+rows of one doc_id, null included, one document.  An empty table
 gives an empty result.  Other columns are ignored.
 """
 
@@ -26,7 +29,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from fundgraph.llm.common import NO_ID, texts
 from fundgraph.llm.components import smallest_reachable
@@ -64,16 +67,22 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(id, fp): a null doc_id as NO_ID, the fingerprint as a signed long."""
+def tie_of(text: str) -> Column:
+    """Tells the texts of one doc_id, or of none, from each other."""
+    return F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary"))
+
+
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, tie: bool = False) -> DataFrame:
+    """(id, fp): a null doc_id as NO_ID, the fingerprint as a signed long; with ``tie`` also tie_of the text."""
+    more = ["tie"] if tie else []
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array([fingerprint(t.as_buffer().to_pybytes(), shingle) for t in batch.column("text").cast(pa.large_binary())], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found.view(np.int64))], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found.view(np.int64)), *map(batch.column, more)], ["id", "fp", *more])
 
-    rows = texts(docs).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "text")
-    return rows.mapInArrow(compute, "id long, fp long")
+    rows = texts(docs).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "text", *[tie_of("text").alias(c) for c in more])
+    return rows.mapInArrow(compute, "id long, fp long" + ", tie string" * tie)
 
 
 def split(rows: DataFrame, bits: int, pieces: int) -> DataFrame:
@@ -187,34 +196,45 @@ def links(shard_rows: DataFrame, radius: int = RADIUS) -> DataFrame:
     return shard_rows.repartition("key").sortWithinPartitions("key", "node", "fp").mapInArrow(search, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, shard_nodes: int = SHARD_NODES) -> DataFrame:
-    """(doc_id, fp, component_id) for every row of ``docs``."""
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, shard_nodes: int = SHARD_NODES, by_id: bool = True) -> DataFrame:
+    """(doc_id, fp, component_id) for every row of ``docs``; ``by_id`` also links the texts of a doc_id."""
     prints = cut(fingerprints(docs, shingle), "fingerprints")
-    nodes = cut(prints.groupBy("fp").agg(F.min("id").alias("node")), "fingerprints")
+    out = prints.join(grouped(prints, radius, shard_nodes, by_id), "fp")
+    real = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
+    return out.select(real("id").alias("doc_id"), "fp", real("least").alias("component_id"))
+
+
+def grouped(prints: DataFrame, radius: int, shard_nodes: int, by_id: bool) -> DataFrame:
+    """(fp, group, least): each fingerprint's group, named by a fingerprint of it, and the group's smallest id."""
+    nodes = cut(prints.groupBy("fp").agg(F.min("id").alias("least")).withColumn("node", F.col("fp")), "fingerprints")
     found = shards(nodes, radius, shard_nodes)
     edges = links(found[0], radius)
     for more in found[1:]:
         edges = edges.union(links(more, radius))
-    # a doc_id that stands for several fingerprints joins them
-    repeated = prints.groupBy("id").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).filter("lo <> hi").select("id")
-    edges = edges.union(prints.join(repeated, "id", "left_semi").join(nodes, "fp").select("id", "node"))
+    if by_id:
+        repeated = prints.groupBy("id").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).filter("lo <> hi").select("id", "lo")
+        edges = edges.union(prints.join(repeated, "id").select("fp", "lo"))
     component = smallest_reachable(edges)
-    named = cut(nodes.join(component, "node", "left").select("fp", F.coalesce("component", "node").alias("component")), "fingerprints")
-    out = prints.join(named, "fp")
-    real = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
-    return out.select(real("id").alias("doc_id"), "fp", real("component").alias("component_id"))
+    named = cut(nodes.join(component, "node", "left").select("fp", F.coalesce("component", "node").alias("group"), F.col("least").alias("own")), "fingerprints")
+    least = cut(named.groupBy("group").agg(F.min("own").alias("least")), "fingerprints")
+    return cut(named.join(least, "group").select("fp", "group", "least"), "fingerprints")
 
 
-def digest(docs: DataFrame) -> DataFrame:
+def digest(docs: DataFrame, by_id: bool = True) -> DataFrame:
     """The contract's columns."""
-    return near_duplicates(docs).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
-
-
-def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of their group, one row for each such id."""
-    found = near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = cut(found.groupBy(F.col("doc_id").alias("sim_id")).agg(F.count("*").alias("sim_rows")), "kept")
-    once = docs.join(kept.filter("sim_rows = 1"), F.col("doc_id").eqNullSafe(F.col("sim_id")), "left_semi")
+    return near_duplicates(docs, by_id=by_id).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, by_id: bool = True) -> DataFrame:
+    """One row of each group: that of the smallest doc_id and, of its texts in the group, the smallest hash."""
+    prints = cut(fingerprints(docs, tie=True), "fingerprints")
+    group = grouped(prints, RADIUS, SHARD_NODES, by_id).select("fp", "group")
+    rows = prints.join(group, "fp").groupBy("group", "id", "tie").agg(F.count("*").alias("rows"))
+    best = rows.groupBy("group").agg(F.min(F.struct("id", "tie", "rows")).alias("best"))
+    kept = cut(best.select(F.col("best.id").alias("sim_id"), F.col("best.tie").alias("sim_tie"), F.col("best.rows").alias("sim_rows")), "kept")
+    keyed = docs.withColumns({"sim_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "sim_tie": tie_of("text")})
+    own = ["sim_id", "sim_tie"]
+    once = keyed.join(kept.filter("sim_rows = 1"), own, "left_semi").drop(*own)
     if (repeats := kept.filter("sim_rows > 1")).isEmpty():
         return once
-    return once.unionByName(docs.join(repeats, F.col("doc_id").eqNullSafe(F.col("sim_id")), "left_semi").dropDuplicates(["doc_id"]))
+    return once.unionByName(keyed.join(repeats, own, "left_semi").dropDuplicates(own).drop(*own))

@@ -7,7 +7,9 @@ import pytest
 import xxhash
 from llm_frames import LONG, edge_rows, empty, frame, random_rows
 
+import corpus_pipeline
 from fundgraph.llm import simhash, substring_dedup, suffix_dedup
+from fundgraph.llm.queries import QUERIES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -176,3 +178,19 @@ def test_simhash_edges(spark):
     ids = [r.doc_id for r in kept.collect()]
     assert len(ids) == len(set(ids)) and set(ids) == {g[2] for g in brute_groups(edge_rows())}
     assert kept.columns == frame(spark, edge_rows()).columns
+
+
+def test_rows_without_an_id_and_texts_of_one_id_are_told_apart(spark, tmp_path):
+    rnd = random.Random(8)
+    some = lambda: " ".join(rnd.choice("abcdefghijklmnop") + str(rnd.randint(0, 999)) for _ in range(200))
+    a, b, c, d, e, f = (some() for _ in range(6))
+    rows = [(1, a), (2, b), (None, a), (None, b), (None, c), (None, c), (None, d), (3, e), (3, f), (3, f), (None, None), (None, "")]
+    prints = [brute_print(t) for _, t in rows]
+    assert all((x ^ y).bit_count() > 3 for x in prints for y in prints if x != y)
+    frame(spark, rows, clash=False).write.parquet(f"{tmp_path}/documents.parquet")
+    component = {a: 1, b: 2, e: 3, f: 3}
+    want = sorted(((i, f"{p:016x}", component.get(t)) for (i, t), p in zip(rows, prints)), key=repr)
+    assert collected(QUERIES["op6_simhash"](spark, str(tmp_path))) == want
+    kept = corpus_pipeline.near_duplicates(spark, frame(spark, rows), str(tmp_path))
+    assert kept.columns == frame(spark, rows).columns
+    assert sorted(((r.doc_id, r.text or "") for r in kept.collect()), key=repr) == sorted([(1, a), (2, b), (None, c), (None, d), (3, e), (3, f), (None, "")], key=repr)
