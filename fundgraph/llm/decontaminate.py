@@ -12,9 +12,13 @@ than letters and digits as one space, so marks and line breaks don't count.
 The benchmark is a stated query set: it is taken in blocks of about BLOCK_CHARS
 characters, each of which is sent to all tasks, and each block meets every text.
 
+Every item with a letter or digit is searched.  One of fewer than MIN_WORDS words
+that allows less than two edits is compared with a space at either end, so that it is
+not found inside a longer word; scripts written without spaces have no such bounds
+and their items are found anywhere.
+
 Nulls: a null text is empty; a null doc_id is given back as null; a null item or
-one of fewer than MIN_WORDS words is not searched, because so few words meet by
-chance; a null item_id is given back as null.  Items of equal compared text are one, under their smallest item_id.  Rows
+one without letters and digits is not searched; a null item_id is given back as null.  Items of equal compared text are one, under their smallest item_id.  Rows
 that repeat a doc_id are searched each on their own.  With no items nothing is found
 and nothing removed; an empty table gives an empty result.  Other columns are ignored.
 """
@@ -35,7 +39,7 @@ from fundgraph.llm.common import NO_ID, texts
 #: Edits allowed for each character of an item.
 RATE = 0.08
 
-#: Words that an item must have.
+#: Items of fewer words may have to stand on word bounds.
 MIN_WORDS = 5
 
 #: Characters of items in one block: the bound of what is sent to the tasks.
@@ -43,6 +47,9 @@ BLOCK_CHARS = 2_000_000
 
 _OTHER = re.compile(r"[\W_]+")
 
+#: Letters of scripts without spaces between words: Thai, Lao, Tibetan, Burmese, Khmer, Chinese, Japanese.
+_UNSPACED = re.compile("[\u0e00-\u109f\u1780-\u17ff\u2e80-\u312f\u31a0-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]")
+
 
 def compared(text: str) -> str:
     return _OTHER.sub(" ", text.lower()).strip()
@@ -59,7 +66,9 @@ class Pattern:
     """An item and its bit masks."""
 
     def __init__(self, item_id: int, text: str, rate: float) -> None:
-        self.item_id, self.text, self.errors = item_id, text, int(rate * len(text))
+        self.item_id, self.errors = item_id, int(rate * len(text))
+        self.bound = self.errors < 2 and text.count(" ") + 1 < MIN_WORDS and not _UNSPACED.search(text)
+        self.text = text = f" {text} " if self.bound else text
         self.masks: dict[str, int] = {}
         for i, c in enumerate(text):
             self.masks[c] = self.masks.get(c, 0) | 1 << i
@@ -107,7 +116,7 @@ class Searcher:
 
     def hits(self, text: str) -> list[tuple[int, int, int]]:
         """(item_id, distance, end in the compared text): the best for each item found."""
-        text = compared(text)
+        text = f" {compared(text)} "
         around: dict[int, list[int]] = {}
         if self.patterns:
             for end, (size, where) in self.automaton.iter(text):
@@ -116,6 +125,7 @@ class Searcher:
         out = []
         for n, starts in around.items():
             p = self.patterns[n]
+            first, last = (0, len(text)) if p.bound else (1, len(text) - 1)
             best: tuple[int, int] | None = None
             starts.sort()
             low = 0
@@ -123,12 +133,12 @@ class Searcher:
                 high = low  # windows that overlap are one
                 while high + 1 < len(starts) and starts[high + 1] - starts[high] <= len(p.text) + 2 * p.errors:
                     high += 1
-                a, b = max(0, starts[low] - p.errors), min(len(text), starts[high] + len(p.text) + p.errors)
+                a, b = max(first, starts[low] - p.errors), min(last, starts[high] + len(p.text) + p.errors)
                 if b - a >= len(p.text) - p.errors and (found := p.best(text, a, b)) and (best is None or found < best):
                     best = found
                 low = high + 1
             if best:
-                out.append((p.item_id, *best))
+                out.append((p.item_id, best[0], best[1] - 1 - (p.bound and text[best[1] - 1] == " ")))
         return sorted(out)
 
 
@@ -146,15 +156,15 @@ def searcher(key: str, items: list[tuple[int, str]], rate: float) -> Searcher:
 def blocks(benchmark: DataFrame, size: int) -> list[list[tuple[int, str]]]:
     """The items, distinct by compared text, in blocks of about ``size`` characters: read block by block, by a hash of the text."""
     rows = benchmark.select(F.coalesce(F.col("item_id").cast("long"), F.lit(NO_ID)).alias("item_id"), F.trim(F.regexp_replace(F.lower("text"), r"(?U)[\W_]+", " ")).alias("text"))
-    rows = rows.filter(F.size(F.split("text", " ")) >= MIN_WORDS).groupBy("text").agg(F.min("item_id").alias("item_id"))
+    rows = rows.filter("text <> ''").groupBy("text").agg(F.min("item_id").alias("item_id"))
     total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     n = max(1, math.ceil(total / size))
     out = []
     for i in range(n):
         items: dict[str, int] = {}
         for r in rows.filter(F.pmod(F.xxhash64("text"), F.lit(n)) == i).collect():
-            t = compared(r.text)
-            items[t] = min(items.get(t, r.item_id), r.item_id)
+            if t := compared(r.text):
+                items[t] = min(items.get(t, r.item_id), r.item_id)
         out.append(sorted((i, t) for t, i in items.items()))
     return out
 

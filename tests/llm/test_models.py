@@ -156,6 +156,20 @@ def test_leaks_equal_brute_force(spark, block_chars):
     assert kept == {d for d, _ in docs} - {d for d, _ in want}
 
 
+def test_short_and_unspaced_items_are_searched(spark):
+    chinese, japanese = "下列哪一种气体在大气层中所占的比例最高呢", "日本で一番高い山の名前とその標高を答えてくださいませ"
+    items = [(1, chinese), (2, japanese), (3, "cat"), (4, "x += 1"), (5, "Who wrote Hamlet?"), (6, "???"), (7, "ประเทศไทย")]
+    docs = [
+        (1, f"题目是{chinese}请回答"), (2, "問い" + japanese.replace("山", "川") + "以上"), (3, "concatenate the category"), (4, "The cat!"), (5, "if y: x += 1"),
+        (6, "so who wrote hamlet"), (7, "so who wrote hamlat then"), (8, None), (9, "cat"), (10, "xcat x 12"), (11, "ในประเทศไทยมี"),
+    ]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.distance, r.end) for r in decontaminate.leaks(frame(spark, docs), table).collect()}
+    assert {k: d for k, (d, _) in got.items()} == {(1, 1): 0, (2, 2): 1, (4, 3): 0, (5, 4): 0, (6, 5): 0, (7, 5): 1, (9, 3): 0, (11, 7): 0}
+    assert [got[4, 3][1], got[6, 5][1], got[9, 3][1], got[1, 1][1]] == [7, 19, 3, 3 + len(chinese)]
+    assert {r.doc_id for r in decontaminate.without_leaks(frame(spark, docs), table).collect()} == {3, 8, 10}
+
+
 def test_leak_edges(spark):
     table = spark.createDataFrame([(1, "alpha beta gamma delta alpha beta"), (2, None)], "item_id long, text string")
     docs = frame(spark, edge_rows())
