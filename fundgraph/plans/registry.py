@@ -666,6 +666,13 @@ def betweenness_exact(spark, d):
     return BC.betweenness(nodes, e).withColumn("betweenness_score", F.round(F.col("betweenness_score") + 1e-7, 4))
 
 
+@query
+def betweenness_funds_exact(spark, d):
+    """All funds as sources, on the edges between funds with common managers."""
+    g = shared_graph(spark, d)
+    return BC.betweenness(g.nodes, g.edges)
+
+
 @query
 def similar_funds(spark, d):
     """Funds that pay much the same managers."""

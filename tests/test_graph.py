@@ -4,6 +4,7 @@ from collections import defaultdict, deque
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from fundgraph.operators import betweenness as BC
 from fundgraph.operators import components as CC
@@ -12,6 +13,7 @@ from fundgraph.operators import louvain as LV
 from fundgraph.operators import pagerank as PR
 from fundgraph.operators import similarity as SIM
 from fundgraph.operators.relational import to_undirected
+from fundgraph.plans import registry
 
 
 def graph(spark, edges, nodes=(), weight=False):
@@ -242,3 +244,15 @@ def test_build_project_and_export(spark):
     assert rows(G.manager_scores(scored).fillna(-1.0, ["pagerank_score"]), "ein", "pagerank_score") == [("7", -1.0), ("8", 0.4)]
     assert G.fund_scores(scored).columns[0] == "ein" and len(G.fund_scores(scored).columns) == 9
     assert rows(to_undirected(g.edges, rel="rel"), "rel") == [("forward",)] * 2 + [("reverse",)] * 2
+
+
+def test_exact_betweenness_of_funds_has_all_sources(spark, tmp_path):
+    source = "/root/testdata/sf0.001"
+    for name, key in (("orders", "o_orderkey"), ("lineitem", "l_orderkey")):
+        spark.read.parquet(f"{source}/{name}.parquet").filter(F.col(key) % 25 == 0).write.parquet(f"{tmp_path}/{name}.parquet")
+    for name in "customer supplier part nation region labels".split():
+        (tmp_path / f"{name}.parquet").symlink_to(f"{source}/{name}.parquet")
+    g = registry.shared_graph(spark, str(tmp_path))
+    want = bfs_betweenness([r.id for r in g.nodes.collect()], [(r.src, r.dst) for r in g.edges.collect()], False)
+    got = {r.id: r.betweenness_score for r in registry.QUERIES["betweenness_funds_exact"](spark, str(tmp_path)).collect()}
+    assert got == pytest.approx(want) and len(got) > 16 and any(got.values())
