@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fundgraph.llm import chat, decontaminate, mixing, quality_model, quality_rules, secrets, simhash, substring_dedup, suffix_dedup, token_files
+from fundgraph.llm import chat, decontaminate, filter_audit, lexical_search, line_dedup, mixing, quality_model, quality_rules, secrets, simhash, substring_dedup, suffix_dedup, token_files
 from fundgraph.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,9 @@ QUERIES: dict[str, Query] = {
     "op8_quality_classifier": lambda spark, d: quality_model.digest(table(spark, d, "documents"), table(spark, d, "labels")),
     "op9_token_files": lambda spark, d: token_files.digest(table(spark, d, "documents")),
     "op10_suffix_dedup": lambda spark, d: suffix_dedup.digest(table(spark, d, "documents")),
+    "op11_line_dedup": lambda spark, d: line_dedup.digest(table(spark, d, "documents")),
+    "op12_filter_audit": lambda spark, d: filter_audit.digest(table(spark, d, "documents"), table(spark, d, "labels")),
+    "op13_lexical_search": lambda spark, d: lexical_search.digest(table(spark, d, "documents"), table(spark, d, "benchmark")),
 }
 
 SQL: dict[str, str] = {
@@ -30,4 +33,7 @@ SQL: dict[str, str] = {
     "op4_quality_rules": quality_rules.oracle(),
     "op5_chat_format": chat.oracle(),
     "op7_mix_sources": mixing.oracle(),
+    "op11_line_dedup": line_dedup.oracle(),
+    "op12_filter_audit": filter_audit.oracle(),
+    "op13_lexical_search": lexical_search.oracle(),
 }
