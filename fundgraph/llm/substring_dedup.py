@@ -182,12 +182,14 @@ def digest(docs: DataFrame) -> DataFrame:
 def oracle() -> str:
     """The same result in DuckDB: every window as a row, grouped by its words."""
     w, n = r"[^\x20\x09-\x0D]+", WINDOW
-    window = ", ".join(f"ws[i + {k}]" for k in range(n))
+    window = ", ".join(f"lead(word, {k}) OVER o AS w{k}" for k in range(1, n))
+    names = ", ".join(["word", *(f"w{k}" for k in range(1, n))])
     last = "9223372036854775807"
     return f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '{w}') AS ws FROM documents),
-x AS (SELECT rid, i, coalesce(doc_id, {last}) > min(coalesce(doc_id, {last})) OVER (PARTITION BY {window}) AS later FROM (SELECT rid, doc_id, ws, unnest(range(1, len(ws) - {n - 2})) AS i FROM d)),
+p AS (SELECT rid, doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM d),
+v AS (SELECT rid, doc_id, p, word, {window} FROM p WINDOW o AS (PARTITION BY rid ORDER BY p)),
+x AS (SELECT rid, p AS i, coalesce(doc_id, {last}) > min(coalesce(doc_id, {last})) OVER (PARTITION BY {names}) AS later FROM v WHERE w{n - 1} IS NOT NULL),
 r AS (SELECT DISTINCT rid, unnest(range(i, i + {n})) AS p FROM x WHERE later),
-p AS (SELECT rid, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM d),
 k AS (SELECT rid, count(r.p) AS n_removed, string_agg(word, ' ' ORDER BY p) FILTER (r.p IS NULL) AS kept FROM p LEFT JOIN r USING (rid, p) GROUP BY rid)
 SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (rid)"""

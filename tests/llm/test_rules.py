@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import duckdb
 import pytest
@@ -114,6 +115,28 @@ def test_repeat_words_equal_brute_force(spark):
     assert {r.doc_id: r.n_repeat_words for r in quality_rules.digest(frame(spark, rows)).collect()} == {i: brute_repeats(t) for i, t in rows}
 
 
+def test_repeats_do_not_depend_on_hashes(spark, monkeypatch):
+    """Windows of one hash are told apart by their words."""
+    rows = random_rows(40, 12) + edge_rows()[:6]
+    want = [brute_repeats(t) for _, t in rows]
+    for same in (None, lambda *w: F.lit(5).cast("long"), lambda a, b, c: F.pmod(F.xxhash64(a), F.lit(3)).cast("long")):
+        if same:
+            monkeypatch.setattr(quality_rules, "window_hash", same)
+        got = [tuple(r) for r in quality_rules.digest(frame(spark, rows)).select("doc_id", "n_repeat_words").collect()]
+        assert sorted(got, key=repr) == sorted([(d, n) for (d, _), n in zip(rows, want)], key=repr)
+
+
+def test_a_long_word_takes_linear_time(spark):
+    def seconds(n):
+        docs = frame(spark, [(1, "中" * n), (2, "x" * n + "\n" + "y!" * n)])
+        began = time.monotonic()
+        quality_rules.digest(docs).collect()
+        return time.monotonic() - began
+
+    seconds(10)  # compiled once
+    assert seconds(80_000) < 5
+
+
 def mix_rows():
     rnd = random.Random(6)
     return [(i, " ".join(["w"] * rnd.randint(0, 30)), rnd.choice(["a", "b", "B", "é", None] + ["hot"] * 9)) for i in range(400)]
