@@ -20,11 +20,10 @@ inside a text are ordinary text.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import compress
-from operator import not_
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +43,7 @@ LEVEL = 3
 PART_BYTES = 32 << 20
 
 #: Encoded stretches that a worker remembers in each of two generations, and the longest that is worth it (characters).
-REMEMBERED, LONGEST = 200_000, 48
+REMEMBERED, LONGEST = 700_000, 48
 
 #: Where a token begins whatever stands around it: at a run of blanks, and after a word of common letters that no further word character follows.
 #: A text may be cut there and its stretches be encoded one by one.
@@ -53,15 +52,11 @@ STRETCH = re.compile(r"[ \n]*+(?:[A-Za-zÀ-ÖØ-öø-ɏ]++(?!\w)|[^ \n]++)|[ \n]
 OTHER_BLANKS = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u180e" + "".join(map(chr, range(0x2000, 0x200C))) + "\u2028\u2029\u202f\u205f\u2060\u3000\ufeff"
 
 
-class Known(dict):
-    """Ids of stretches; one that is asked for and not known is noted."""
-
-    def __init__(self) -> None:
-        self.missing: list[str] = []
-
-    def __missing__(self, part: str) -> bytes:
-        self.missing.append(part)
-        return b""
+def _byte_level(made: dict) -> bool:
+    """Whether STRETCH may cut texts for this tokenizer: plain byte-level BPE whose words take the blank before them along."""
+    cuts = made.get("pre_tokenizer") or {}
+    whole = made["model"]["type"] == "BPE" and not made.get("normalizer") and not made["model"].get("dropout")
+    return bool(whole and cuts.get("type") == "ByteLevel" and cuts.get("use_regex", True) and not cuts.get("add_prefix_space"))
 
 
 class Encoder:
@@ -81,7 +76,9 @@ class Encoder:
         self.bytes_of = np.zeros(max(names.values()) + 1, np.int64)
         for name, i in names.items():
             self.bytes_of[i] = len(name)
-        self.known, self.older = Known(), Known()
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.by_stretch = _byte_level(json.loads(self.tokenizer.to_str()))
 
     def plain(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
@@ -105,30 +102,16 @@ class Encoder:
 
     def encode(self, batch: list[str]) -> list[bytes]:
         if len(self.known) > REMEMBERED:
-            self.known, self.older = Known(), self.known
-        known, older, out, later = self.known, self.older, [], []
-        for i, text in enumerate(batch):
-            if any(c in text for c in OTHER_BLANKS):
-                out.append(self.plain(text).tobytes())
-                continue
-            parts, before = STRETCH.findall(text), len(known.missing)
-            found = list(map(known.__getitem__, parts))
-            if len(known.missing) > before:
-                gaps = list(compress(range(len(found)), map(not_, found)))
-                later.append((i, found, gaps, known.missing[before:]))
-                out.append(b"")
-            else:
-                out.append(b"".join(found))
-        missing = set(known.missing)
-        known.missing = []
-        again = [p for p in missing if p in older]
-        known.update((p, older[p]) for p in again)
-        new = list(missing.difference(again))
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        # texts with other blanks are not cut; nor is anything for a vocabulary whose tokens may cross a blank
+        cut = [self.by_stretch and not any(c in text for c in OTHER_BLANKS) for text in batch]
+        parts = [STRETCH.findall(text) if c else () for text, c in zip(batch, cut, strict=True)]
+        missing = [p for p in set().union(*parts) if p not in known]
+        known.update((p, older[p]) for p in missing if p in older)
+        new = [p for p in missing if p not in known]
         known.update(zip(new, self.stretches(new), strict=True))
-        for i, found, gaps, parts in later:
-            for gap, part in zip(gaps, parts, strict=True):
-                found[gap] = known[part]
-            out[i] = b"".join(found)
+        out = [b"".join(map(known.__getitem__, p)) if c else self.plain(text).tobytes() for text, p, c in zip(batch, parts, cut, strict=True)]
         for part in [p for p in new if len(p) > LONGEST]:
             del known[part]
         return out
