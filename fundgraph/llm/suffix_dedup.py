@@ -34,10 +34,27 @@ GRAM = 20
 DIVERSE = -1
 
 
+def _ranks(key: np.ndarray, suffix: np.ndarray, rank: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """New ranks from the suffixes in the order of their keys, and those that still share one.
+
+    ``group``: for each place in that order, where the group that it lies in began before.
+    """
+    new = np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.zeros(0, bool)
+    at = np.arange(len(key))
+    first = np.maximum.accumulate(np.where(new, at, 0))
+    old = np.concatenate([[True], group[1:] != group[:-1]]) if len(key) else new
+    begin = np.maximum.accumulate(np.where(old, at, 0))
+    out = rank.copy()
+    out[suffix] = group + (first - begin)
+    alone = new & np.concatenate([new[1:], [True]]) if len(key) else new
+    return out, suffix[~alone]
+
+
 def enhanced_suffix_array(symbols: np.ndarray, size: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     """Suffixes of at least ``least`` bytes in order, and the prefix that each shares with the one before (0 for the first).
 
-    Suffixes end with their segment.  Order by prefix doubling, from 7 bytes in one number.
+    Suffixes end with their segment.  Order by prefix doubling, from 7 bytes in one number; suffixes that are
+    told apart are not sorted again.
     """
     n = len(symbols)
     end = np.repeat(np.cumsum(size), size)
@@ -46,16 +63,19 @@ def enhanced_suffix_array(symbols: np.ndarray, size: np.ndarray, least: int) ->
     key = np.zeros(n, np.int64)
     for j in range(7):
         key = key * 512 + np.where(here + j < end, padded[j : j + n], 0)
-    known, ranks = 7, []
-    while True:
-        rank = np.unique(key, return_inverse=True)[1].astype(np.int32)
-        ranks.append((known, rank))
-        if known >= size.max(initial=0):
-            break
-        inside = np.flatnonzero(here + known < end)
-        key = rank * np.int64(n + 1)
-        key[inside] += rank[inside + known] + 1
+    # a rank is the place where its group of equal prefixes begins, so ranks stay right while other groups are told apart
+    order = np.argsort(key, kind="stable")
+    rank, active = _ranks(key[order], order, np.zeros(n, np.int32), np.zeros(n, np.int32))
+    known, ranks = 7, [(7, rank)]
+    while known < size.max(initial=0) and len(active):
+        # only suffixes that share their prefix with another are sorted again, each within its group
+        inside = here[active] + known < end[active]
+        key = rank[active] * np.int64(n + 1)
+        key[inside] += rank[active[inside] + known] + 1
+        sort = np.argsort(key, kind="stable")
+        rank, active = _ranks(key[sort], active[sort], rank, np.sort(rank[active]))
         known *= 2
+        ranks.append((known, rank))
     long = np.flatnonzero(end - here >= least)
     order = long[np.argsort(rank[long], kind="stable")]
     a, b = order[:-1].copy(), order[1:].copy()
@@ -127,6 +147,10 @@ def later_repeats(contents: Contents, least: int = WINDOW) -> Found:
     if not len(contents.size):
         return none, none, none
     order, shared = enhanced_suffix_array(contents.symbols, contents.size, least)
+    # only suffixes that share enough with a neighbour lie in an interval; the first of each row of them keeps rows apart
+    long = shared >= least
+    held = long | np.append(long[1:], False)
+    order, shared = order[held], shared[held]
     starts = np.cumsum(contents.size) - contents.size
     segment = np.searchsorted(starts, order, "right") - 1
     inside = order - starts[segment]
