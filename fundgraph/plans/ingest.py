@@ -32,9 +32,9 @@ def fund_nodes(filings: DataFrame, order_by: str = "ack_id") -> DataFrame:
     return keep_first(f, "ein", order_by)
 
 
-def payments(lines: DataFrame) -> DataFrame:
+def payments(lines: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """Named payment lines with cleaned provider EIN and name."""
-    p = rename_cols(null_markers(lines.select(*LINE_COLUMNS)), LINE_COLUMNS)
+    p = rename_cols(null_markers(lines.select(*LINE_COLUMNS, *[c for c in extra if c not in LINE_COLUMNS])), LINE_COLUMNS)
     p = require(p, ["name", "ein"])
     return require(p.withColumn("ein", normalize_ein("ein")).withColumn("name", norm_name("name")), ["ein"])
 

@@ -172,9 +172,11 @@ sql("assemble_fund_features", """SELECT ein, plan_name, fund_type, num_participa
 sql("valid_graph_edges", """SELECT fund_ein, manager_ein FROM fees WHERE fund_ein IN (SELECT ein FROM funds)
   AND manager_ein IN (SELECT ein FROM managers)""")
 sql("lookup_manager_attributes", "SELECT manager_ein, fund_ein, community_id, same_parent_flag FROM fees LEFT JOIN attrs USING (manager_ein)")
-sql("manager_nodes", "SELECT ein, name, cast(total_fees AS double) AS total_fees, num_clients FROM managers")
+SQL_OF_MANAGERS = "SELECT ein, name, cast(total_fees AS double) AS total_fees, num_clients FROM managers"
+SQL_OF_FEES = "SELECT fund_ein AS ein, cast(coalesce(sum(fee_paid), 0) AS double) AS total_fees FROM edges GROUP BY ALL"
+sql("manager_nodes", SQL_OF_MANAGERS)
 sql("managers_per_fund", "SELECT fund_ein AS ein, count(DISTINCT manager_ein) AS num_managers FROM edges GROUP BY ALL")
-sql("total_fees_per_fund", "SELECT fund_ein AS ein, cast(coalesce(sum(fee_paid), 0) AS double) AS total_fees FROM edges GROUP BY ALL")
+sql("total_fees_per_fund", SQL_OF_FEES)
 sql("top_manager_concentration", "SELECT ein, round(top_manager_concentration, 6) AS top_manager_concentration FROM profile")
 sql("shared_manager_totals", "SELECT ein, total_shared_managers, total_shared_managers AS by_clients FROM shared")
 sql("shared_manager_totals_concat", """SELECT fund_a AS ein, CASE WHEN n > 309 THEN 0.0 ELSE coalesce(try_cast(t AS double), 0.0) END AS total_shared_managers
@@ -333,6 +335,10 @@ sql("graph_nodes", "SELECT * FROM gnodes", GRAPH)
 sql("graph_edges", """SELECT * FROM gedges UNION ALL SELECT 'PensionFund:' || fund_a, 'PensionFund:' || fund_b, 'SHARES_MANAGER_WITH', shared_managers::double
   FROM shares WHERE fund_a < fund_b AND fund_a IN (SELECT ein FROM funds) AND fund_b IN (SELECT ein FROM funds)""", GRAPH)
 sql("graph_label_counts", "SELECT label, count(*) AS count FROM gnodes GROUP BY ALL", GRAPH)
+sql("merged_fund_nodes", "SELECT * FROM funds")
+sql("merged_graph_edges", "SELECT * FROM gedges", GRAPH)
+sql("streamed_manager_nodes", SQL_OF_MANAGERS)
+sql("streamed_total_fees", SQL_OF_FEES)
 sql("project_reverse", "SELECT dst AS src, src AS dst, type, weight FROM gedges", GRAPH)
 sql("induced_manager_subgraph", """SELECT 'nodes' AS "table", count(*) AS rows FROM gnodes WHERE label = 'AssetManager'
   UNION ALL SELECT 'edges', count(*) FROM gedges WHERE src IN (SELECT id FROM gnodes WHERE label = 'AssetManager')""", GRAPH)

@@ -17,6 +17,7 @@ from ..operators import entity as E
 from ..operators import features as FT
 from ..operators import graph as G
 from ..operators import louvain as LV
+from ..operators import merge as MG
 from ..operators import metrics as M
 from ..operators import pagerank as PR
 from ..operators import pairs as P
@@ -26,6 +27,7 @@ from ..operators import risk as X
 from ..operators import similarity as SIM
 from ..session import cut, scratch_path
 from ..sources import star, tables
+from ..streaming import incremental as ST
 from . import ingest as I
 from . import labels as LB
 from . import model as MD
@@ -602,6 +604,76 @@ def risk_labels_chained(spark, d):
     return out.withColumns({**dbl("total_fees"), **rnd(6, "top_manager_concentration", "fee_percentile", "community_concentration", "same_parent_fee_ratio")})
 
 
+# ---- batches merged into stored tables, and the stream of lines
+
+#: Batches that the test tables are replayed in.
+BATCHES = 3
+
+
+def batch_of(df: DataFrame, i: int) -> DataFrame:
+    """Every row is in just one batch; lines of one filing, fund or manager come in all of them."""
+    return df.filter(F.pmod(F.xxhash64(*df.columns), F.lit(BATCHES)) == i)
+
+
+@query
+def merged_fund_nodes(spark, d):
+    """Filings that come in batches: the stored funds are those of one load."""
+    path = scratch_path(spark, "funds")
+    for i in range(BATCHES):
+        MG.merge_funds(path, I.fund_nodes(batch_of(star.filings(spark, d), i)))
+    return MG.stored(spark, path).drop(MG.BUCKET)
+
+
+@query
+def merged_graph_edges(spark, d):
+    """Filings and lines that come in batches: the stored graph's edges are those of one load."""
+    nodes, paid = scratch_path(spark, "funds"), scratch_path(spark, "paid")
+    lines, f = lines_and_filings(spark, d)
+    for i in range(BATCHES):
+        MG.merge_funds(nodes, I.fund_nodes(batch_of(f, i)))
+        MG.merge_payments(paid, I.fund_manager_edges(batch_of(lines, i), f, ("ACK_ID", "line_no")), ("ACK_ID", "line_no", "fee_paid"))
+    return MG.stored_graph(spark, nodes, paid, managers(spark, d)).edges
+
+
+#: The id by which the stream knows a line again.
+LINE = ("line_key",)
+
+
+def replayed(lines: DataFrame, folder: str) -> None:
+    """The lines as four deliveries an hour apart: one line in seven comes an hour late, one in five twice."""
+    hour, late, again = (F.pmod(F.xxhash64(F.lit(n), "line_key"), F.lit(n)).cast("int") for n in (4, 7, 5))
+    late, again = late == 0, again == 0
+    first = F.when(late, hour + 1).otherwise(hour)
+    came = F.array_compact(F.array(first, F.when(again, first + 1)))
+    rows = lines.withColumn("received", F.timestamp_seconds(F.lit(1_700_000_000) + 3600 * hour)).withColumn("delivery", F.explode(came))
+    rows = cut(rows, "replay")
+    for i in range(6):
+        rows.filter(F.col("delivery") == i).drop("delivery").repartition(4).write.parquet(f"{folder}/{i}")
+
+
+def streamed(spark: SparkSession, d: str, keys: list[str], clean: Callable, result: Callable) -> DataFrame:
+    folder, store = scratch_path(spark, "deliveries"), scratch_path(spark, "store")
+    replayed(star.provider_lines(spark, d, named=True, extra=(star.LINE_KEY,)), folder)
+    stream = ST.line_stream(spark, f"{folder}/*", spark.read.parquet(f"{folder}/0").schema, delay="6 hours", files_per_batch=8, line_id=LINE)
+    ST.keep_current(stream, store, keys, clean, result, LINE, buckets=16)
+    return ST.current(spark, store)
+
+
+@query
+def streamed_manager_nodes(spark, d):
+    """Fee totals of managers from lines that stream in, with repeats and late lines."""
+    out = streamed(spark, d, ["ein", "name"], lambda lines: I.payments(lines, LINE), A.manager_nodes)
+    return out.withColumns(dbl("total_fees"))
+
+
+@query
+def streamed_total_fees(spark, d):
+    """Fee totals of funds from the same stream."""
+    f = star.filings(spark, d)
+    out = streamed(spark, d, ["fund_ein"], lambda lines: I.fund_manager_edges(lines, f, LINE), lambda e: A.total_fees(e).withColumnRenamed("ein", "fund_ein"))
+    return out.withColumnRenamed("fund_ein", "ein").withColumns(dbl("total_fees"))
+
+
 @query
 def pagerank_unweighted(spark, d):
     g = G.project(graph(spark, d), [G.FUND, G.MANAGER], {G.ALLOCATED: "UNDIRECTED"})

@@ -59,7 +59,11 @@ def filings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").selectExpr(*FILING_SELECT)
 
 
-def provider_lines(spark: SparkSession, sf_dir: str, named: bool = False) -> DataFrame:
+#: An id of a line that deliveries repeat: order and line number alone are not unique in the test tables.
+LINE_KEY = "md5(concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_shipdate)) AS line_key"
+
+
+def provider_lines(spark: SparkSession, sf_dir: str, named: bool = False, extra: tuple[str, ...] = ()) -> DataFrame:
     """Payment lines; ``named`` adds the provider's name from the provider table.
 
     Names are hashed once per provider and joined (Spark broadcasts the provider
@@ -67,10 +71,10 @@ def provider_lines(spark: SparkSession, sf_dir: str, named: bool = False) -> Dat
     """
     li = table(spark, sf_dir, "lineitem")
     if not named:
-        return li.selectExpr("CAST(NULL AS string) AS PROVIDER_OTHER_NAME", *[e for e in LINE_SELECT if "PROVIDER_OTHER_NAME" not in e])
+        return li.selectExpr("CAST(NULL AS string) AS PROVIDER_OTHER_NAME", *[e for e in LINE_SELECT if "PROVIDER_OTHER_NAME" not in e], *extra)
     x = HASH_NAME.format(div="p_partkey div 3")
     base = table(spark, sf_dir, "part").selectExpr("p_partkey AS l_partkey", f"substr({x}, 1, 8) AS u", f"substr({x}, 9, 7) AS v")
-    return li.join(base, "l_partkey").selectExpr(*LINE_SELECT)
+    return li.join(base, "l_partkey").selectExpr(*LINE_SELECT, *extra)
 
 
 def manager_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
