@@ -11,6 +11,7 @@ from ..functions import columns as C
 from ..functions import names as N
 from ..operators import aggregates as A
 from ..operators import betweenness as BC
+from ..operators import betweenness_blocks as BB
 from ..operators import classify as K
 from ..operators import components as CC
 from ..operators import entity as E
@@ -742,7 +743,7 @@ def betweenness_exact(spark, d):
 def betweenness_funds_exact(spark, d):
     """All funds as sources, on the edges between funds with common managers."""
     g = shared_graph(spark, d)
-    return BC.betweenness(g.nodes, g.edges)
+    return BB.exact_betweenness(g.nodes, g.edges)
 
 
 @query
