@@ -37,8 +37,7 @@ OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 CONTROL = ("<|im_start|>", "<|im_end|>", "<|endoftext|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
 ESCAPED = re.compile(r"\\|" + "|".join(f"{re.escape(x[0])}(?={re.escape(x[1:])})" for x in CONTROL))
 
-#: Conversations up to this many turns are rendered by whole prefixes; longer ones by prefixes of their last CONTEXT turns.
-WHOLE_PREFIXES = 64
+#: Turns that a prefix of a template declared to render turn by turn starts back.
 CONTEXT = 4
 
 
@@ -65,12 +64,13 @@ def marked_turns(turns: list[Turn]) -> str:
     return "".join(f"{OPEN}{escaped_role(role)}\n{escape(text)}{CLOSE}" for role, text in turns)
 
 
-def turn_spans(turns: list[Turn], template: Template) -> tuple[str, list[tuple[int, int]] | None]:
+def turn_spans(turns: list[Turn], template: Template, context: int | None = None) -> tuple[str, list[tuple[int, int]] | None]:
     """The whole output and each turn's span in it; None for the spans if the template rewrites history.
 
-    Rendering every whole prefix costs the square of a long conversation.  Beyond
-    WHOLE_PREFIXES turns a prefix starts CONTEXT turns back, and the grown parts
-    must add up to the whole output; if not, whole prefixes decide.
+    Nothing is known of a template, so every whole prefix is rendered, whatever the length
+    (the square of a conversation).  A template that is declared to render turn by turn may be
+    given a ``context``: prefixes then start that many turns back, and the grown parts must add up to
+    the whole output; if not, whole prefixes decide.
     """
     whole = template(turns)
 
@@ -88,8 +88,8 @@ def turn_spans(turns: list[Turn], template: Template) -> tuple[str, list[tuple[i
         return parts
 
     first = len(template([]))
-    parts = grown(len(turns) if len(turns) <= WHOLE_PREFIXES else CONTEXT)
-    if len(turns) > WHOLE_PREFIXES and (parts is None or whole[first:] != "".join(parts)):
+    parts = grown(context or len(turns))
+    if context and (parts is None or whole[first:] != "".join(parts)):
         parts = grown(len(turns))
     if parts is None or whole[first:] != "".join(parts):
         return whole, None
@@ -110,8 +110,12 @@ def body(output: str, span: tuple[int, int]) -> tuple[str, tuple[int, int]]:
 FORMATTED = "conv_id long, formatted string, roles array<string>, starts array<int>, ends array<int>, rewrites boolean"
 
 
-def formatted(rows: DataFrame, template: Template = marked_turns) -> DataFrame:
-    """(conv_id, formatted, roles, starts, ends, rewrites): each turn's role and its span in the output."""
+def formatted(rows: DataFrame, template: Template = marked_turns, context: int | None = None) -> DataFrame:
+    """(conv_id, formatted, roles, starts, ends, rewrites): each turn's role and its span in the output.
+
+    ``context`` declares that the template renders turn by turn, as the library's own does.
+    """
+    context = CONTEXT if template is marked_turns else context
 
     def conversations(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int | None, list[Turn]]]:
         open_id, turns, any_yet = None, [], False
@@ -130,7 +134,7 @@ def formatted(rows: DataFrame, template: Template = marked_turns) -> DataFrame:
         out: list[tuple] = []
         size = 0
         for conv, turns in conversations(batches):
-            output, spans = turn_spans(turns, template)
+            output, spans = turn_spans(turns, template, context)
             out.append((conv, output, [r for r, _ in turns], *([[s[i] for s in spans or []] for i in (0, 1)]), spans is None))
             size += len(output)
             if size > 4_000_000:

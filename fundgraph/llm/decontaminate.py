@@ -18,8 +18,8 @@ not found inside a longer word; scripts written without spaces have no such boun
 and their items are found anywhere.
 
 Nulls: a null text is empty; a null doc_id is given back as null; a null item or
-one without letters and digits is not searched; a null item_id is given back as null.  Items of equal compared text are one, under their smallest item_id.  Rows
-that repeat a doc_id are searched each on their own.  With no items nothing is found
+one without letters and digits is not searched; a null item_id is given back as null.  Items of equal compared text
+are searched once, and each of their item_ids gets the rows.  Rows that repeat a doc_id are searched each on their own.  With no items nothing is found
 and nothing removed; an empty table gives an empty result.  Other columns are ignored.
 """
 
@@ -29,12 +29,12 @@ import math
 import re
 import uuid
 from collections.abc import Iterator
-from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from fundgraph.llm.common import NO_ID, texts
+from fundgraph.session import cut, scratch_path
 
 #: Edits allowed for each character of an item.
 RATE = 0.08
@@ -153,48 +153,64 @@ def searcher(key: str, items: list[tuple[int, str]], rate: float) -> Searcher:
     return _searchers[key]
 
 
-def blocks(benchmark: DataFrame, size: int) -> list[list[tuple[int, str]]]:
-    """The items, distinct by compared text, in blocks of about ``size`` characters: read block by block, by a hash of the text."""
-    rows = benchmark.select(F.coalesce(F.col("item_id").cast("long"), F.lit(NO_ID)).alias("item_id"), F.trim(F.regexp_replace(F.lower("text"), r"(?U)[\W_]+", " ")).alias("text"))
-    rows = rows.filter("text <> ''").groupBy("text").agg(F.min("item_id").alias("item_id"))
-    total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
+def compared_items(benchmark: DataFrame) -> DataFrame:
+    """(compared, item_id): each item once under every id that it has; a null id is NO_ID."""
+    rows = benchmark.select(F.coalesce(F.col("item_id").cast("long"), F.lit(NO_ID)).alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([compared(x.as_py()) for x in batch.column("text")], pa.string()), batch.column("item_id")], ["compared", "item_id"])
+
+    return rows.mapInArrow(fold, "compared string, item_id long").filter("compared <> ''").distinct()
+
+
+def distinct_items(members: DataFrame) -> DataFrame:
+    """(compared, item_key): a stored table with a number for each compared text."""
+    return cut(members.select("compared").distinct().withColumn("item_key", F.monotonically_increasing_id()), "items")
+
+
+def blocks(items: DataFrame, size: int) -> Iterator[list[tuple[int, str]]]:
+    """The distinct items in blocks of about ``size`` characters, by a hash of the text; a block is read when its turn comes."""
+    total = items.agg(F.sum(F.length("compared"))).first()[0] or 0
     n = max(1, math.ceil(total / size))
-    out = []
     for i in range(n):
-        items: dict[str, int] = {}
-        for r in rows.filter(F.pmod(F.xxhash64("text"), F.lit(n)) == i).collect():
-            if t := compared(r.text):
-                items[t] = min(items.get(t, r.item_id), r.item_id)
-        out.append(sorted((i, t) for t, i in items.items()))
-    return out
+        yield sorted((r.item_key, r.compared) for r in items.filter(F.pmod(F.xxhash64("compared"), F.lit(n)) == i).collect())
 
 
-FOUND = "doc_id long, item_id long, distance int, end int"
+FOUND = "doc_id long, item_key long, distance int, end int"
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """(doc_id, item_id, distance, end): the best match of every item in every text that holds it."""
-    rows = texts(docs)
+    """(doc_id, item_id, distance, end): the best match of every item in every text that holds it.
 
-    def one(items: list[tuple[int, str]]) -> DataFrame:
-        key, sent = uuid.uuid4().hex, docs.sparkSession.sparkContext.broadcast(items)
+    Each block's hits are stored, and its broadcast is let go, before the next block is read.
+    """
+    spark = docs.sparkSession
+    rows, path = texts(docs), scratch_path(spark, "leaks")
+    members = cut(compared_items(benchmark), "members")
+    items = distinct_items(members)
+    for block in blocks(items, block_chars):
+        key, sent = uuid.uuid4().hex, spark.sparkContext.broadcast(block)
 
         def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            find = searcher(key, sent.value, rate)
+            find = searcher(key, sent.value, rate)  # noqa: B023
             for batch in batches:
                 found = [(i, *h) for i, t in enumerate(batch.column("text")) for h in find.hits(t.as_py())]
                 of, item, distance, end = (list(x) for x in zip(*found)) if found else ([], [], [], [])
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(of, pa.int64())), pa.array([None if x == NO_ID else x for x in item], pa.int64()), pa.array(distance, pa.int32()), pa.array(end, pa.int32())], ["doc_id", "item_id", "distance", "end"])
-
-        return rows.mapInArrow(search, FOUND)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(of, pa.int64())), pa.array(item, pa.int64()), pa.array(distance, pa.int32()), pa.array(end, pa.int32())], ["doc_id", "item_key", "distance", "end"])
 
-    return reduce(DataFrame.unionByName, [one(items) for items in blocks(benchmark, block_chars)])
+        rows.mapInArrow(search, FOUND).write.mode("append").parquet(path)
+        sent.destroy()
+    found = spark.read.schema(FOUND).parquet(path)
+    # every id of an item gets the item's rows
+    named = found.join(items, "item_key").join(members, "compared")
+    return named.select("doc_id", F.when(F.col("item_id") != NO_ID, F.col("item_id")).alias("item_id"), "distance", "end")
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """The rows of ``docs`` that hold no item."""
-    for items in blocks(benchmark, block_chars):
-        docs = _without(docs, items, rate)
+    """The rows of ``docs`` that hold no item; what a block leaves is stored before the next one is read."""
+    for i, block in enumerate(blocks(distinct_items(compared_items(benchmark)), block_chars)):
+        docs = _without(cut(docs, "left") if i else docs, block, rate)
     return docs
 
 

@@ -147,9 +147,9 @@ def test_leaks_equal_brute_force(spark, block_chars):
     got = {(r.doc_id, r.item_id): r.distance for r in decontaminate.leaks(frame(spark, docs), table, block_chars=block_chars).collect()}
     want = {}
     for d, t in docs:
-        for i, item in items[:12]:
-            c = decontaminate.compared(item)
-            if (n := distance_to_part(c, decontaminate.compared(t))) <= int(decontaminate.RATE * len(c)):
+        for i, item in items:  # each of equal items gets its rows
+            c = decontaminate.compared(item or "")
+            if c and (n := distance_to_part(c, decontaminate.compared(t))) <= int(decontaminate.RATE * len(c)):
                 want[d, i] = n
     assert got == want and any(want.values()) and 0 in want.values()
     kept = {r.doc_id for r in decontaminate.without_leaks(frame(spark, docs), table, block_chars=block_chars).collect()}
@@ -170,6 +170,13 @@ def test_short_and_unspaced_items_are_searched(spark):
     assert {r.doc_id for r in decontaminate.without_leaks(frame(spark, docs), table).collect()} == {3, 8, 10}
 
 
+def test_every_id_of_an_item_gets_its_rows(spark):
+    items = [(1, "Which river is the longest one?"), (2, "which river: is the longest one"), (2, "which river: is the longest one"), (None, "WHICH river is the longest one!"), (1, "another text under one id")]
+    docs = [(7, "so which river is the longest one then"), (8, "another text under one id"), (9, "nothing")]
+    got = sorted(((r.doc_id, r.item_id) for r in decontaminate.leaks(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()), key=repr)
+    assert got == [(7, 1), (7, 2), (7, None), (8, 1)]
+
+
 def test_leak_edges(spark):
     table = spark.createDataFrame([(1, "alpha beta gamma delta alpha beta"), (2, None)], "item_id long, text string")
     docs = frame(spark, edge_rows())

@@ -215,7 +215,7 @@ def test_templates_that_rewrite_history_are_found(spark):
     assert got[1].rewrites and got[3].rewrites and not got[2].rewrites and got[1].starts == [] and got[2].ends == [1]
 
 
-def test_long_conversations_have_the_spans_of_whole_prefixes(monkeypatch):
+def test_declared_templates_have_the_spans_of_whole_prefixes():
     turns = [("user", f"t{i}") for i in range(90)]
 
     def numbered(turns):
@@ -224,6 +224,14 @@ def test_long_conversations_have_the_spans_of_whole_prefixes(monkeypatch):
 
     for template in (chat.marked_turns, numbered):
         out, spans = chat.turn_spans(turns, template)
-        monkeypatch.setattr(chat, "WHOLE_PREFIXES", 1000)
-        assert chat.turn_spans(turns, template) == (out, spans) and spans[-1][1] == len(out)
-        monkeypatch.undo()
+        assert chat.turn_spans(turns, template, chat.CONTEXT) == (out, spans) and spans[-1][1] == len(out)
+
+
+@pytest.mark.parametrize("n", [9, 12, 64, 71, 200])
+def test_a_rewriting_template_is_found_at_any_length(spark, n):
+    def shortens(turns):
+        """Shortens the first turn in prefixes of ten turns up; the whole is plain again."""
+        return "".join(t[:1] if i == 0 and 10 <= len(turns) < n else t for i, (_, t) in enumerate(turns))
+
+    got = chat.formatted(conversations(spark, [(1, i, "user", f"y{i}") for i in range(n)]), shortens).first()
+    assert got.rewrites == (n > 10)
