@@ -457,16 +457,26 @@ MANAGER_COLS = ("num_clients", "total_fees", "same_parent_flag", "group_size", "
 
 
 def shifted(expr: str, name: str) -> str:
-    return f"round({expr} + 1e-4, 2) AS {name}" if name.startswith(("total_fees", "total_shared_managers")) else f"round({expr} + 1e-7, 5) AS {name}"
+    return f"round({expr} + 1e-4, 2) AS {name}" if name.startswith(("total_fees", "total_shared_managers", "betweenness_score")) else f"round({expr} + 1e-7, 5) AS {name}"
 
 
-sql("propagate_two_hops", "SELECT ein, " + ", ".join([*[shifted(c, c) for c in FUND_COLS], *[shifted(f"coalesce({c}_h1, 0)", f"{c}_h1") for c in MANAGER_COLS], *[shifted(f"coalesce({c}_h2, 0)", f"{c}_h2") for c in FUND_COLS]])
-    + " FROM fund_x LEFT JOIN f1 USING (ein) LEFT JOIN f2 USING (ein)", f"""{FUND_X}, {MANAGER_X},
-  mx AS (SELECT ein, {", ".join(f"arg_max({c}, name) AS {c}" for c in MANAGER_COLS)} FROM manager_x GROUP BY ein),
+TWO_HOPS = "SELECT ein, " + ", ".join([*[shifted(c, c) for c in FUND_COLS], *[shifted(f"coalesce({c}_h1, 0)", f"{c}_h1") for c in MANAGER_COLS], *[shifted(f"coalesce({c}_h2, 0)", f"{c}_h2") for c in FUND_COLS]]) + " FROM fund_x LEFT JOIN f1 USING (ein) LEFT JOIN f2 USING (ein)"
+HOPS = f"""mx AS (SELECT ein, {", ".join(f"arg_max({c}, name) AS {c}" for c in MANAGER_COLS)} FROM manager_x GROUP BY ein),
   ve AS (SELECT fund_ein, manager_ein FROM edges WHERE fund_ein IN (SELECT ein FROM fund_x) AND manager_ein IN (SELECT ein FROM mx)),
   f1 AS (SELECT fund_ein AS ein, {", ".join(f"avg({c}) AS {c}_h1" for c in MANAGER_COLS)} FROM ve JOIN mx ON manager_ein = ein GROUP BY fund_ein),
   m1 AS (SELECT manager_ein AS ein, {", ".join(f"avg({c}) AS {c}" for c in FUND_COLS)} FROM ve JOIN fund_x ON fund_ein = ein GROUP BY manager_ein),
-  f2 AS (SELECT fund_ein AS ein, {", ".join(f"avg({c}) AS {c}_h2" for c in FUND_COLS)} FROM ve JOIN m1 ON manager_ein = ein GROUP BY fund_ein)""")
+  f2 AS (SELECT fund_ein AS ein, {", ".join(f"avg({c}) AS {c}_h2" for c in FUND_COLS)} FROM ve JOIN m1 ON manager_ein = ein GROUP BY fund_ein)"""
+sql("propagate_two_hops", TWO_HOPS, f"{FUND_X}, {MANAGER_X}, {HOPS}")
+# the same on the scores of the chain
+CHAINED_FUND_X = "scored_funds AS (SELECT training.* REPLACE (score AS betweenness_score) FROM training JOIN between ON id = 'PensionFund:' || ein),\n" + FUND_X.replace(
+    "betweenness_score,", "greatest(0.0, least(1e6, betweenness_score)) AS betweenness_score,").replace("FROM training", "FROM scored_funds")
+CHAINED_MANAGER_X = """manager_x AS (SELECT mgr_n.ein, name, coalesce(num_clients, 0)::double AS num_clients, coalesce(total_fees, 0)::double AS total_fees,
+  coalesce(attrs.same_parent_flag, 0)::double AS same_parent_flag, coalesce(group_size, 0)::double AS group_size, coalesce(pr, 0.15)::double AS pagerank_score
+  FROM mgr_n LEFT JOIN r20 USING (id) LEFT JOIN attrs ON mgr_n.ein = manager_ein LEFT JOIN groups ON mgr_n.ein = groups.ein)"""
+CHAINED_RANK = f"{both_ways('gedges', '1.0::double')}, {rank_rounds('links')}"
+SQL["fund_feature_matrix_chained"] = f"WITH {CHAIN}, {CHAIN_BC}, {CHAINED_FUND_X} SELECT ein, label, " + ", ".join(f"round({c}, 6) AS {c}" for c in FUND_COLS) + " FROM fund_x"
+SQL["manager_feature_matrix_chained"] = f"WITH {CHAIN}, {GRAPH}, {CHAINED_RANK}, {CHAINED_MANAGER_X} SELECT ein, name, " + ", ".join(f"round({c}, 5) AS {c}" for c in MANAGER_COLS) + " FROM manager_x"
+SQL["propagate_two_hops_chained"] = f"WITH {CHAIN}, {CHAIN_BC}, {CHAINED_RANK}, {CHAINED_FUND_X}, {CHAINED_MANAGER_X}, {HOPS} {TWO_HOPS}"
 
 PRED = """pred AS (SELECT doc_id, quality AS label, 1 - toxic AS prediction, (ascii(substr(md5(cast(doc_id AS varchar)), 1, 1)) - 40) / 80.0 AS p1 FROM labels),
 cls AS (SELECT c, count(*) FILTER (WHERE label = c) AS support, count(*) FILTER (WHERE prediction = c) AS predicted,

@@ -594,14 +594,19 @@ def manager_score_export(spark, d):
     return chained_managers(spark, d, graph(spark, d)).withColumns(rnd(5, "pagerank_score"))
 
 
-@query
-def risk_labels_chained(spark, d):
-    """Labels from the exported scores: name groups, PageRank, betweenness and cycles of the loaded graph."""
+def chained_labels(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Labelled funds and the managers' scores, both from the exported scores of one loaded graph."""
     g = graph(spark, d)
     m = chained_managers(spark, d, g)
     f = chained_funds(spark, d, g, m)
     attrs = m.select(F.col("ein").alias("manager_ein"), "community_id", "same_parent_flag")
-    out = scores_off_ties(LB.labelled_funds(funds(spark, d), edges(spark, d), attrs, f))
+    return scores_off_ties(LB.labelled_funds(funds(spark, d), edges(spark, d), attrs, f)), m
+
+
+@query
+def risk_labels_chained(spark, d):
+    """Labels from the exported scores: name groups, PageRank, betweenness and cycles of the loaded graph."""
+    out, _ = chained_labels(spark, d)
     return out.withColumns({**dbl("total_fees"), **rnd(6, "top_manager_concentration", "fee_percentile", "community_concentration", "same_parent_fee_ratio")})
 
 
@@ -809,7 +814,13 @@ def predictions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def model_in(spark: SparkSession, d: str) -> MD.ModelInput:
-    return MD.model_input(labelled(spark, d), manager_table(spark, d), manager_score_table(spark, d), edges(spark, d))
+    """Model input from the chain: labels and features of the exported fund scores, the managers' PageRank and name groups."""
+    labels, m = chained_labels(spark, d)
+    return MD.model_input(labels, m, manager_ranks(m), edges(spark, d))
+
+
+def manager_ranks(scored_managers: DataFrame) -> DataFrame:
+    return scored_managers.select("ein", "pagerank_score", "community_id")
 
 
 @query
@@ -835,15 +846,40 @@ def stratified_split(spark, d):
 
 
 @query
-def propagate_two_hops(spark, d):
-    f = FT.fund_features(training(spark, d), ("ein",)).select("ein", *FT.FUND_FEATURES)
-    m = FT.manager_features(R.keep_last(manager_table(spark, d), "ein", "name"), manager_score_table(spark, d)).select("ein", *FT.MANAGER_FEATURES)
-    out = FT.propagate(f, m, edges(spark, d), 2)
+def fund_feature_matrix_chained(spark, d):
+    """The funds' model input on the exported scores."""
+    labels, _ = chained_labels(spark, d)
+    return FT.fund_features(X.training_rows(labels)).withColumns(rnd(6, *FT.FUND_FEATURES))
+
+
+@query
+def manager_feature_matrix_chained(spark, d):
+    """The managers' model input on the exported scores."""
+    m = chained_managers(spark, d, graph(spark, d))
+    return FT.manager_features(m, manager_ranks(m), ("ein", "name")).withColumns(rnd(5, *FT.MANAGER_FEATURES))
+
+
+def two_hops(f: DataFrame, m: DataFrame, e: DataFrame) -> DataFrame:
+    out = FT.propagate(f.select("ein", *FT.FUND_FEATURES), m.select("ein", *FT.MANAGER_FEATURES), e, 2)
     # the means are simple fractions; a small shift keeps them off exact rounding ties
-    large = ("total_fees", "total_shared_managers")
+    large = ("total_fees", "total_shared_managers", "betweenness_score")
     return out.withColumns({c: F.round(F.col(c) + 1e-4, 2) if c.startswith(large) else F.round(F.col(c) + 1e-7, 5) for c in out.columns if c != "ein"})
 
 
+@query
+def propagate_two_hops(spark, d):
+    f = FT.fund_features(training(spark, d), ("ein",))
+    m = FT.manager_features(R.keep_last(manager_table(spark, d), "ein", "name"), manager_score_table(spark, d))
+    return two_hops(f, m, edges(spark, d))
+
+
+@query
+def propagate_two_hops_chained(spark, d):
+    """Two hops over the features that the exported scores give."""
+    labels, m = chained_labels(spark, d)
+    return two_hops(FT.fund_features(X.training_rows(labels), ("ein",)), FT.manager_features(m, manager_ranks(m)), edges(spark, d))
+
+
 @query
 def confusion_table(spark, d):
     return M.confusion(predictions(spark, d))
