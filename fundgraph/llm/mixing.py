@@ -10,7 +10,8 @@ documents in key order, the last one in part.
 Nulls: a null text has size 0; a null source is a source of its own, last in
 order; a null doc_id sorts last among equal keys.  Rows that repeat doc_id and
 text are interchangeable, so their order changes nothing.  Without any word all
-targets are 0.  An empty table gives an empty result.
+targets are 0.  An empty table gives an empty result.  Other columns, whatever their
+names, pass through the mix unchanged.
 """
 
 from __future__ import annotations
@@ -99,14 +100,18 @@ def digest(docs: DataFrame) -> DataFrame:
 
 def mixed(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them; the one document in which a source's budget ends keeps that many of its words."""
-    rows = mix(docs, docs.columns)
+    # the row travels as one struct, so none of its columns can meet a column of the mix
+    packed = docs.select(F.struct("*").alias("mix_row"), "doc_id", "text", "source")
+    rows = mix(packed, ["doc_id", "mix_row"])
     whole = F.when(F.col("mix_size") > 0, F.floor(F.col("mix_taken") / F.col("mix_size"))).otherwise(0)
     rest = F.col("mix_taken") - whole * F.col("mix_size")
     copies = F.concat(F.array_repeat(F.lit(-1).cast("long"), whole.cast("int")), F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<long>")))
     rows = rows.withColumn("mix_words", F.explode(copies))
-    head = F.array_join(F.slice(words(F.col("text")), F.lit(1), F.col("mix_words").cast("int")), " ")
+    row = F.col("mix_row")
+    head = F.array_join(F.slice(words(row.getField("text")), F.lit(1), F.col("mix_words").cast("int")), " ")
     own = {"text": head, "n_chars": F.length(head)}
-    return rows.select(*[F.when(F.col("mix_words") < 0, F.col(c)).otherwise(own[c].cast(kind)).alias(c) if c in own else F.col(c) for c, kind in docs.dtypes])
+    cell = lambda c, kind: F.when(F.col("mix_words") < 0, row.getField(c)).otherwise(own[c].cast(kind)) if c in own else row.getField(c)
+    return rows.select(*[cell(c, kind).alias(c) for c, kind in docs.dtypes])
 
 
 def oracle() -> str:

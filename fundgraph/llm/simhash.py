@@ -14,11 +14,12 @@ of a group.
 Words are lower-cased in A-Z and split at ASCII white space; shingles keep
 repeats.  Nulls: a null text is empty and has fingerprint zero, which links like
 any other; a null doc_id comes after every other and is given back as null.  A
-group's component_id is its smallest doc_id, null if it has none.  The registered
-query and the pipeline link by fingerprints alone, so texts that share a doc_id, or
-have none, are told apart; ``by_id`` (the default of the functions) also makes the
-rows of one doc_id, null included, one document.  An empty table
-gives an empty result.  Other columns are ignored.
+group's component_id is its smallest doc_id, null if it has none.  Fingerprints
+alone link, so texts that share a doc_id, or have none, are told apart; ``by_id``
+also makes the rows of one doc_id, null included, one document.  An empty table
+gives an empty result.  Other columns, whatever their names, change no group and
+stay with the rows kept; of rows equal in doc_id and text the one of the smallest
+hash stays.
 """
 
 from __future__ import annotations
@@ -196,7 +197,7 @@ def links(shard_rows: DataFrame, radius: int = RADIUS) -> DataFrame:
     return shard_rows.repartition("key").sortWithinPartitions("key", "node", "fp").mapInArrow(search, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, shard_nodes: int = SHARD_NODES, by_id: bool = True) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, shard_nodes: int = SHARD_NODES, by_id: bool = False) -> DataFrame:
     """(doc_id, fp, component_id) for every row of ``docs``; ``by_id`` also links the texts of a doc_id."""
     prints = cut(fingerprints(docs, shingle), "fingerprints")
     out = prints.join(grouped(prints, radius, shard_nodes, by_id), "fp")
@@ -220,21 +221,23 @@ def grouped(prints: DataFrame, radius: int, shard_nodes: int, by_id: bool) -> Da
     return cut(named.join(least, "group").select("fp", "group", "least"), "fingerprints")
 
 
-def digest(docs: DataFrame, by_id: bool = True) -> DataFrame:
+def digest(docs: DataFrame, by_id: bool = False) -> DataFrame:
     """The contract's columns."""
     return near_duplicates(docs, by_id=by_id).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, by_id: bool = True) -> DataFrame:
+def one_of_each(docs: DataFrame, by_id: bool = False) -> DataFrame:
     """One row of each group: that of the smallest doc_id and, of its texts in the group, the smallest hash."""
     prints = cut(fingerprints(docs, tie=True), "fingerprints")
     group = grouped(prints, RADIUS, SHARD_NODES, by_id).select("fp", "group")
     rows = prints.join(group, "fp").groupBy("group", "id", "tie").agg(F.count("*").alias("rows"))
     best = rows.groupBy("group").agg(F.min(F.struct("id", "tie", "rows")).alias("best"))
     kept = cut(best.select(F.col("best.id").alias("sim_id"), F.col("best.tie").alias("sim_tie"), F.col("best.rows").alias("sim_rows")), "kept")
-    keyed = docs.withColumns({"sim_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "sim_tie": tie_of("text")})
+    # the row travels as one struct, so none of its columns can meet a key
+    keyed = docs.select(F.struct("*").alias("sim_row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("sim_id"), tie_of("text").alias("sim_tie"))
     own = ["sim_id", "sim_tie"]
-    once = keyed.join(kept.filter("sim_rows = 1"), own, "left_semi").drop(*own)
+    once = keyed.join(kept.filter("sim_rows = 1"), own, "left_semi").select("sim_row.*")
     if (repeats := kept.filter("sim_rows > 1")).isEmpty():
         return once
-    return once.unionByName(keyed.join(repeats, own, "left_semi").dropDuplicates(own).drop(*own))
+    first = F.min_by("sim_row", F.xxhash64(F.to_json("sim_row"))).alias("sim_row")
+    return once.unionByName(keyed.join(repeats, own, "left_semi").groupBy(*own).agg(first).select("sim_row.*"))

@@ -9,7 +9,8 @@ LONG = (1 << 63) - 1
 SCHEMA = StructType([StructField(n, t()) for n, t in (("doc_id", LongType), ("text", StringType), ("lang", StringType), ("source", StringType), ("n_chars", LongType))])
 
 #: Names that operators use inside; as columns of the input they must change nothing.
-CLASHES = ("id", "batch", "text_key", "low", "trigram", "spans", "key", "size", "lines", "held", "lost", "kept", "score", "quality", "component", "fp", "node", "tie", "part", "target", "taken", "words")
+CLASHES = ("id", "batch", "text_key", "low", "trigram", "spans", "key", "size", "lines", "held", "lost", "kept", "score", "quality", "component", "fp", "node", "tie", "part", "target", "taken", "words",
+           "mix_size", "mix_source", "mix_key", "mix_words", "mix_range", "mix_row", "sim_id", "sim_tie", "sim_rows", "sim_row")
 
 
 def frame(spark, rows, clash=True):

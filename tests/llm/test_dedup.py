@@ -4,6 +4,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 import xxhash
 from llm_frames import LONG, edge_rows, empty, frame, random_rows
 
@@ -166,15 +167,15 @@ def test_simhash_equals_brute_force(spark, shard_nodes):
         for _ in range(rnd.randint(0, 3)):
             w[rnd.randrange(len(w))] = "Edited"
         rows.append((i * 3 % 151, " ".join(w)))
-    got = simhash.near_duplicates(frame(spark, rows), shard_nodes=shard_nodes)
+    got = simhash.near_duplicates(frame(spark, rows), shard_nodes=shard_nodes, by_id=True)
     got = sorted(((r.doc_id, f"{r.fp & (1 << 64) - 1:016x}", r.component_id) for r in got.collect()), key=repr)
     assert got == brute_groups(rows) and len({g[2] for g in got}) < 100
 
 
 def test_simhash_edges(spark):
-    assert collected(simhash.digest(frame(spark, edge_rows()))) == brute_groups(edge_rows())
+    assert collected(simhash.digest(frame(spark, edge_rows()), by_id=True)) == brute_groups(edge_rows())
     assert collected(simhash.digest(empty(spark))) == []
-    kept = simhash.one_of_each(frame(spark, edge_rows()))
+    kept = simhash.one_of_each(frame(spark, edge_rows()), by_id=True)
     ids = [r.doc_id for r in kept.collect()]
     assert len(ids) == len(set(ids)) and set(ids) == {g[2] for g in brute_groups(edge_rows())}
     assert kept.columns == frame(spark, edge_rows()).columns
@@ -194,3 +195,12 @@ def test_rows_without_an_id_and_texts_of_one_id_are_told_apart(spark, tmp_path):
     kept = corpus_pipeline.near_duplicates(spark, frame(spark, rows), str(tmp_path))
     assert kept.columns == frame(spark, rows).columns
     assert sorted(((r.doc_id, r.text or "") for r in kept.collect()), key=repr) == sorted([(1, a), (2, b), (None, c), (None, d), (3, e), (3, f), (None, "")], key=repr)
+    assert {(r.sim_id, r.sim_tie, r.sim_row) for r in kept.collect()} == {("x", "x", "x")}
+
+
+def test_of_equal_rows_the_same_one_stays(spark):
+    rows = [(1, "some text of a few words")] * 3
+    some = frame(spark, rows, clash=False).select("doc_id", "text", F.monotonically_increasing_id().alias("nth"))
+    stored = spark.createDataFrame(some.toPandas())
+    kept = {simhash.one_of_each(stored.repartition(n)).first().nth for n in (1, 2, 3)}
+    assert len(kept) == 1

@@ -172,6 +172,7 @@ def test_mixed_rows_hold_the_words_taken(spark):
     for r in out.collect():
         words[r.doc_id] = words.get(r.doc_id, 0) + len(r.text.split())
     assert words == {i: n for i, n in taken.items() if n}
+    assert {(r.mix_size, r.mix_source, r.mix_key, r.mix_words, r.mix_range, r.mix_row) for r in out.collect()} == {("x",) * 6}
 
 
 def conversations(spark, rows):
