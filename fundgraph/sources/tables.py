@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import INTEGERS, null_markers, to_int
 from ..schema import FILINGS, FUND_SCORES, MANAGER_SCORES, PROVIDER_LINES
+from .quoted_csv import read_quoted_csv
 
 #: Doubled quotes inside quoted fields, blanks around a value kept (the CSV writer
 #: drops them by default).  The intermediate files are UTF-8.
@@ -21,10 +22,9 @@ RAW = "ISO-8859-1"
 def _read_csv(spark: SparkSession, path: str, schema: T.StructType | None, encoding: str) -> DataFrame:
     """Select the schema's columns by header name; numbers that do not parse become null.
 
-    A quoted field may hold line breaks, so a CSV file is read by one task from
-    end to end: land a large one as parquet once (``write_table``) and read that.
+    A quoted field may hold line breaks; a large file is read by many tasks all the same.
     """
-    raw = null_markers(spark.read.options(**CSV, multiLine="true", encoding=encoding).csv(path))
+    raw = null_markers(read_quoted_csv(spark, path, CSV, encoding))
     if schema is None:
         return raw
     kinds = {f.name: f.dataType for f in schema.fields}
