@@ -31,6 +31,32 @@ def num_managers(edges: DataFrame, approximate: bool = False) -> DataFrame:
     return edges.groupBy(F.col("fund_ein").alias("ein")).agg(how("manager_ein").alias("num_managers"))
 
 
+def manager_sketches(edges: DataFrame, *parts: str, lg: int = 12) -> DataFrame:
+    """Per fund and part (a year, a batch): a sketch of its distinct managers, a few kB however many there are.
+
+    Sketches of new parts are stored beside the old ones; :func:`merged_num_managers` unites them
+    without the payments they come from.  Their relative error is about 1 / sqrt(2 ** lg).
+    Null managers are not counted, as by an exact count.
+    """
+    sketch = F.hll_sketch_agg("manager_ein", lg).alias("managers")
+    return edges.groupBy(F.col("fund_ein").alias("ein"), *parts).agg(sketch)
+
+
+def merged_num_managers(sketches: DataFrame) -> DataFrame:
+    """Estimated number of distinct managers of each fund over all parts stored for it."""
+    return sketches.groupBy("ein").agg(F.hll_sketch_estimate(F.hll_union_agg("managers")).alias("num_managers_estimate"))
+
+
+def per_fund(fees: DataFrame) -> DataFrame:
+    """num_managers, total_fees and top_manager_concentration from one row per (fund, manager), in one group-by:
+    over a table in buckets of fund_ein without an exchange."""
+    out = fees.groupBy(F.col("fund_ein").alias("ein")).agg(
+        F.count("manager_ein").alias("num_managers"), fee_sum("fee_paid").alias("total_fees"),
+        F.max("fee_paid").alias("_top"), F.sum("fee_paid").alias("_total"),
+    )
+    return out.withColumn("top_manager_concentration", guarded_ratio("_top", "_total")).drop("_top", "_total")
+
+
 def total_fees(edges: DataFrame) -> DataFrame:
     return edges.groupBy(F.col("fund_ein").alias("ein")).agg(fee_sum("fee_paid").alias("total_fees"))
 

