@@ -134,6 +134,19 @@ def manager_scores(nodes: DataFrame) -> DataFrame:
     })
 
 
+def first_fund_scores(nodes: DataFrame) -> DataFrame:
+    """What the first of the two metric runs exports of the funds."""
+    return _export(nodes, FUND, {"ein": "string", "community_id": "string", "scc_id": "string", "in_circular_pattern": "int"})
+
+
+def first_manager_scores(nodes: DataFrame) -> DataFrame:
+    """What the first of the two metric runs exports of the managers."""
+    return _export(nodes, MANAGER, {
+        "ein": "string", "name": "string", "pagerank_score": "double", "betweenness_score": "double",
+        "community_id": "string", "same_parent_flag": "int", "parent_group_id": "bigint",
+    })
+
+
 def _export(nodes: DataFrame, label: str, cols: dict[str, str]) -> DataFrame:
     have = set(nodes.columns)
     return nodes.filter(F.col("label") == label).select(

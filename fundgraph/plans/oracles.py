@@ -413,6 +413,8 @@ sql("similar_funds", SIMILAR, "sized AS MATERIALIZED (SELECT fund_ein AS src, ma
 sql("similar_portfolios", SIMILAR,
     f"""sets AS (SELECT DISTINCT ACK_ID AS src, {ein('PROVIDER_OTHER_EIN')} AS m FROM lines WHERE PROVIDER_OTHER_EIN IS NOT NULL),
 sized AS MATERIALIZED (SELECT *, count(*) OVER (PARTITION BY src) AS n FROM sets)""")
+SQL["louvain_customer_stars"] = """WITH star AS (SELECT 'order:' || o_orderkey AS id, 'customer:' || o_custkey AS hub FROM orders UNION SELECT 'customer:' || o_custkey, 'customer:' || o_custkey FROM orders)
+SELECT id, min(id) OVER (PARTITION BY hub) AS community, count(*) OVER (PARTITION BY hub) AS members FROM star"""
 sql("modularity_by_fund_type", """SELECT round(sum(inside) / sum(tot) - sum(tot * tot) / (sum(tot) * sum(tot)), 8) AS modularity FROM (
   SELECT a.fund_type AS c, sum(w)::double AS tot, coalesce(sum(w) FILTER (WHERE a.fund_type = b.fund_type), 0)::double AS inside
   FROM (SELECT src, dst, w FROM sh UNION ALL SELECT dst, src, w FROM sh) e JOIN fnodes a ON a.id = e.src JOIN fnodes b ON b.id = e.dst GROUP BY a.fund_type)""", SHARED_EDGES)
@@ -422,9 +424,10 @@ sql("modularity_by_fund_type", """SELECT round(sum(inside) / sum(tot) - sum(tot
 CHAINED_ATTRS = """groups AS (SELECT ein, any_value(parent_group_id) AS parent_group_id, any_value(group_size) AS group_size, any_value(same_parent_flag) AS same_parent_flag FROM enriched GROUP BY ein),
 attrs AS MATERIALIZED (SELECT m.ein AS manager_ein, community_id, groups.same_parent_flag FROM (SELECT DISTINCT ein FROM managers) m LEFT JOIN attrs0 ON m.ein = attrs0.manager_ein LEFT JOIN groups ON m.ein = groups.ein)"""
 CHAIN = PRELUDE.replace("attrs AS (", "attrs0 AS (").replace("\nedges AS (", f"\n{greedy()},\n{CHAINED_ATTRS},\nedges AS (")
+SEGMENTS = """segments AS (SELECT DISTINCT cast(o_custkey * 100 + (year(o_orderdate) - 1990) AS varchar) AS ein, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey)"""
 CHAIN_BC = f"{GRAPH}, bc_src AS (SELECT src, dst FROM gedges), {brandes('gnodes', 16, 12)}, " + """between AS (
   SELECT id, round(coalesce(delta, 0.0) * 0.5 * (SELECT count(*) FROM gnodes) / 16.0 + 1e-5, 2) AS score FROM gnodes LEFT JOIN bc ON node = id),
-segments AS (SELECT DISTINCT cast(o_custkey * 100 + (year(o_orderdate) - 1990) AS varchar) AS ein, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey)"""
+""" + SEGMENTS
 SQL["fund_score_export"] = f"""WITH {CHAIN}, {CHAIN_BC}
 SELECT ein, c_mktsegment AS community_id, score AS betweenness_score, num_managers AS total_managers, manager_community_count,
   round(community_concentration, 6) AS community_concentration, total_fees, round(same_parent_fee_ratio, 6) AS same_parent_fee_ratio, 0 AS in_circular_pattern
@@ -432,6 +435,11 @@ FROM funds LEFT JOIN profile USING (ein) LEFT JOIN segments USING (ein) LEFT JOI
 SQL["manager_score_export"] = f"""WITH {CHAIN}, {GRAPH}, {both_ways('gedges', '1.0::double')}, {rank_rounds('links')}
 SELECT mgr_n.ein, name, round(pr, 5) AS pagerank_score, num_clients, total_fees, attrs.same_parent_flag, parent_group_id, group_size, community_id
 FROM mgr_n LEFT JOIN r20 USING (id) LEFT JOIN attrs ON mgr_n.ein = manager_ein LEFT JOIN groups ON mgr_n.ein = groups.ein"""
+SQL["first_fund_score_export"] = f"""WITH {CHAIN}, {SEGMENTS}
+SELECT ein, c_mktsegment AS community_id, 'PensionFund:' || ein AS scc_id, 0 AS in_circular_pattern FROM funds LEFT JOIN segments USING (ein)"""
+SQL["first_manager_score_export"] = f"""WITH {CHAIN}, {GRAPH}
+SELECT mgr_n.ein, name, 0.15::double AS pagerank_score, 0.0::double AS betweenness_score, community_id, attrs.same_parent_flag, parent_group_id
+FROM mgr_n LEFT JOIN attrs ON mgr_n.ein = manager_ein LEFT JOIN groups ON mgr_n.ein = groups.ein"""
 SQL["risk_labels_chained"] = f"""WITH {CHAIN}, {CHAIN_BC}
 SELECT ein, plan_name, fund_type, num_participants, num_managers, total_fees, round(fee_percentile, 6) AS fee_percentile, total_shared_managers,
   score AS betweenness_score, in_circular_pattern, has_manager_data, risk_score, label, {RATIOS} FROM labelled JOIN between ON id = 'PensionFund:' || ein"""

@@ -614,6 +614,28 @@ def manager_score_export(spark, d):
     return chained_managers(spark, d, graph(spark, d)).withColumns(rnd(5, "pagerank_score"))
 
 
+@query
+def first_fund_score_export(spark, d):
+    """The first metric run: strong components of the payments, as id and as flag, beside the (stored) community."""
+    g = graph(spark, d)
+    scc = CC.circular_flag(CC.strongly_connected_components(g.edges, g.nodes)).withColumnRenamed("component", "scc_id")
+    community = star.fund_communities(spark, d).select(G.node_id(G.FUND, "ein").alias("id"), "community_id")
+    return G.first_fund_scores(G.with_property(G.with_property(g.nodes, scc), community))
+
+
+@query
+def first_manager_score_export(spark, d):
+    """The first metric run: PageRank and exact betweenness on the managers alone, whose graph keeps no payment edge."""
+    g = graph(spark, d)
+    alone = G.induced(g, [G.MANAGER], [G.ALLOCATED])
+    groups = E.enrich_managers(managers(spark, d)).groupBy("ein").agg(*[F.max(c).alias(c) for c in ("parent_group_id", "same_parent_flag")])
+    community = star.manager_attributes(spark, d).select(G.node_id(G.MANAGER, "manager_ein").alias("id"), "community_id")
+    nodes = G.with_property(g.nodes, PR.pagerank(alone.nodes, alone.edges))
+    nodes = G.with_property(nodes, BC.betweenness(alone.nodes, alone.edges))
+    nodes = G.with_property(nodes, groups.select(G.node_id(G.MANAGER, "ein").alias("id"), "parent_group_id", "same_parent_flag"))
+    return G.first_manager_scores(G.with_property(nodes, community)).withColumns(rnd(5, "pagerank_score"))
+
+
 def chained_labels(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """Labelled funds and the managers' scores, both from the exported scores of one loaded graph."""
     g = graph(spark, d)
@@ -793,6 +815,25 @@ def louvain_communities(spark, d):
     return LV.louvain(g.nodes, g.edges)
 
 
+@query
+def louvain_customer_stars(spark, d):
+    """Known communities: every customer with its orders is one, whatever the order of the moves; named by its smallest member."""
+    e = star.table(spark, d, "orders").selectExpr("concat('order:', cast(o_orderkey as string)) AS src", "concat('customer:', cast(o_custkey as string)) AS dst").distinct()
+    nodes = e.select(F.col("src").alias("id")).union(e.select("dst")).distinct()
+    found = LV.louvain(nodes, e)
+    names = found.groupBy("community_id").agg(F.min("id").alias("community"), F.count("*").alias("members"))
+    return found.join(names, "community_id").select("id", "community", "members")
+
+
+@query
+def louvain_concentration(spark, d):
+    """Community concentration of every fund from the Louvain communities of the same graph, computed once."""
+    g = graph(spark, d, shares=True)
+    c = cut(LV.louvain(g.nodes, g.edges), "communities")
+    own = g.nodes.where(F.col("label") == G.MANAGER).select("id", F.col("ein").alias("manager_ein"))
+    return A.community_concentration(edges(spark, d), own.join(c, "id").select("manager_ein", "community_id"))
+
+
 @query
 def louvain_fund_communities(spark, d):
     g = shared_graph(spark, d)
