@@ -1,5 +1,7 @@
 """Inputs on which a silent limit or a careless parser gives wrong results."""
 
+import random
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -51,3 +53,24 @@ def test_one_score_row_per_manager(spark):
     scores = spark.createDataFrame([("1", 0.5, "a"), ("1", 0.7, "b")], "ein string, pagerank_score double, community_id string")
     out = R.attach_scores(spark.createDataFrame([("1",), ("2",)], "ein string"), scores)
     assert rows(out, "ein", "pagerank_score") == [("1", 0.7), ("2", None)]
+
+
+def test_components_where_tasks_hand_on_their_forest_early(spark, monkeypatch):
+    rng = random.Random(5)
+    pairs = [(f"n{rng.randrange(300)}", f"n{rng.randrange(300)}") for _ in range(260)] + [(f"p{i}", f"p{i + 1}") for i in range(200)]
+    frame = spark.createDataFrame(pairs, "src string, dst string").repartition(5)
+    want = {r.id: r.component for r in CC.connected_components(frame).collect()}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    monkeypatch.setattr(CC, "FOREST_NODES", 3)
+    try:
+        assert {r.id: r.component for r in CC.connected_components(frame).collect()} == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    group = {n: n for pair in pairs for n in pair}
+    for _ in group:
+        before = dict(group)
+        for a, b in pairs:
+            group[a] = group[b] = min(group[a], group[b])
+        if group == before:
+            break
+    assert want == group
