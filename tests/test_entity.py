@@ -74,3 +74,25 @@ def test_one_ein_with_two_spellings_is_flagged_alone(spark):
     from fundgraph.operators.aggregates import group_sizes
 
     assert rows(group_sizes(out), "group_size", "distinct_eins") == [(2, 1)]
+
+
+def test_candidates_grow_with_the_names_not_with_their_square(spark):
+    rnd = random.Random(5)
+    drawn = {"".join(rnd.choice("ABCD") for _ in range(16)) for _ in range(1500)}
+    near = {n[:3] + n[4:] for n in sorted(drawn)[:100]}
+    df = spark.createDataFrame([(n, len(n)) for n in sorted(drawn | near)], "name string, len int")
+    got = {(r.a, r.b) for r in E.candidate_pairs(df, E.Bounds(85)).collect()}
+    assert {tuple(sorted((n, n[:3] + n[4:]))) for n in sorted(drawn)[:100]} <= got
+    # nothing but pairs that reach the threshold: names in few letters share many short grams
+    assert all(score(a, b) >= 85 for a, b in got)
+
+
+def test_grams_and_subsequences_share_the_length_sums(spark):
+    ns = names(random.Random(8), 100) + ["ABCDEFGH" * 4, "ABCDEFGH" * 4 + "A", "HGFEDCBA" * 4]
+    df = spark.createDataFrame([(n, len(n)) for n in ns], "name string, len int")
+    bounds = E.Bounds(85)
+    settled, left_out = bounds.by_subsequence({len(n) for n in ns})
+    assert settled and left_out and 65 not in settled
+    got = [(r.a, r.b) for r in E.candidate_pairs(df, bounds).collect()]
+    want = {(a, b) for i, a in enumerate(sorted(ns)) for b in sorted(ns)[i + 1:] if score(a, b) >= 85}
+    assert want <= set(got) and len(got) == len(set(got))

@@ -154,3 +154,13 @@ def test_hot_key_top_k_and_window_limit_plan(spark):
     # rows are limited per key before they are shuffled
     assert "WindowGroupLimit" in top._jdf.queryExecution().executedPlan().toString()
     assert df.select(F.count("*")).first()[0] == 1001
+
+
+def test_partner_lists_hold_every_pair_once_in_arrays_of_a_block(spark):
+    for name in (str, "f{}".format):
+        data = [(name(f), "hub") for f in range(95, 105)] + [(name(f), "small") for f in (99, 100, 7)] + [(None, "hub"), ("1", None)]
+        lists = P.partner_lists(spark.createDataFrame(data, "fund_ein string, manager_ein string"), 4).collect()
+        pairs = sorted((str(r.fund_a), str(p)) for r in lists for p in r.partners)
+        hub, small = sorted(name(f) for f in range(95, 105)), sorted(name(f) for f in (99, 100, 7))
+        assert pairs == sorted((a, b) for s in (hub, small) for i, a in enumerate(s) for b in s[i + 1:])
+        assert len(lists) < len(pairs)
