@@ -159,6 +159,22 @@ def test_node_similarity_against_all_pairs(spark, cutoff):
     assert got == jaccard(sets, cutoff, 5)
 
 
+def test_long_and_short_sets_are_compared_alike(spark, monkeypatch):
+    """Sets beyond ``longest`` row by row, others as arrays; a pair that shares a late member only is no candidate."""
+    rnd = random.Random(17)
+    sets = {f"f{i:02d}": {f"m{rnd.randrange(12):02d}" for _ in range(rnd.randrange(1, 9))} for i in range(30)}
+    sets |= {"x": {f"m{i}" for i in range(10, 16)} | {f"x{i}" for i in range(6)}, "y": {f"m{i}" for i in range(10, 12)} | {f"y{i}" for i in range(10)}}
+    e = spark.createDataFrame([(a, m) for a, s in sets.items() for m in s], "src string, dst string")
+    found = {}
+    inner = SIM.cut
+    monkeypatch.setattr(SIM, "cut", lambda df, name="t": found.setdefault(name, inner(df, name)))
+    for longest in (0, 3, 2000):
+        found.clear()
+        got = {(r.src, r.dst, round(r.similarity_score, 9)) for r in SIM.node_similarity(e, 0.5, 5, 6, longest).collect()}
+        assert got == jaccard(sets, 0.5, 5)
+        assert ("x", "y") not in {(r.a, r.b) for r in found["candidates"].collect()}
+
+
 def test_similarity_cutoff_is_inclusive(spark):
     e = spark.createDataFrame([("x", "a"), ("x", "b"), ("y", "a")], "src string, dst string")
     assert rows(SIM.node_similarity(e), "src", "dst", "similarity_score") == [("x", "y", 0.5), ("y", "x", 0.5)]
