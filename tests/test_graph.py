@@ -103,6 +103,22 @@ def test_sampling_all_nodes_is_exact(spark):
     assert {r.id: r.betweenness_score for r in BC.betweenness(n, e, sample=99).collect()} == pytest.approx(exact)
 
 
+def test_betweenness_walks_sources_with_edges_only_and_an_edge_once_a_batch(spark, monkeypatch):
+    edges = random_edges(9, 12, 30)
+    n, e = graph(spark, edges, [f"lone{i:02d}" for i in range(40)])
+    want = bfs_betweenness([r.id for r in n.collect()], edges, False)
+    made, inner = [], BC.cut
+    monkeypatch.setattr(BC, "cut", lambda df, name="t": made.append((name, out := inner(df, name), out.count())) or out)
+    got = {r.id: r.betweenness_score for r in BC.betweenness(n, e, chunk=4).collect()}
+    assert got == pytest.approx(want)
+    assert sum(name == "bc_part" for name, *_ in made) <= 3
+    assert max(rows for name, _, rows in made if name == "bc_level") <= 12
+    made.clear()
+    alone = BC.betweenness(n, e.filter("src = dst"), chunk=1)
+    assert {r.betweenness_score for r in alone.collect()} == {0.0} and alone.count() == n.count()
+    assert not [name for name, *_ in made if name == "bc_level"]
+
+
 def closure(edges):
     reach = defaultdict(set)
     for a, b in edges:
