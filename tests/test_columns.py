@@ -78,3 +78,24 @@ def test_fee_sum_of_nulls_is_zero(spark):
     df = spark.createDataFrame([(1, None), (1, None)], "k int, f decimal(18,2)")
     assert float(df.groupBy("k").agg(C.fee_sum("f").alias("s")).first().s) == 0.0
     assert df.agg(F.sum("f").alias("s")).first().s is None
+
+
+def test_cleaned_values_are_not_built_again_in_filters(spark):
+    """A filter that is moved below the projection would hold a copy of the whole cleaning."""
+    from fundgraph.plans import ingest as I
+    from fundgraph.schema import FILINGS
+
+    names = ["ACK_ID", "PROVIDER_OTHER_NAME", "PROVIDER_OTHER_EIN", "PROVIDER_OTHER_DIRECT_COMP_AMT"]
+    lines = spark.createDataFrame(
+        [("1", " acme\xa0", "07.0", 2.0), ("1", "B", "x", 1.0), ("2", "NULL", "8", 1.0), (None, "c", "9", 3.0), ("2", "d", "5", 1.0)],
+        "ACK_ID string, PROVIDER_OTHER_NAME string, PROVIDER_OTHER_EIN string, PROVIDER_OTHER_DIRECT_COMP_AMT double",
+    ).select(*[F.concat(c, F.lit("")).alias(c) if i < 3 else c for i, c in enumerate(names)])
+    filings = spark.createDataFrame([("1", "5.0"), ("2", "5"), (None, "6"), ("3", "?")], "ACK_ID string, SPONS_DFE_EIN string")
+    wide = filings.select(*[c if c in filings.columns else F.lit(None).cast("string").alias(c) for c in FILINGS.fieldNames()])
+    edges, paid, funds = I.fund_manager_edges(lines, filings), I.payments(lines), I.fund_nodes(wide)
+    for df in (edges, paid, funds):
+        filters = [x for x in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter" in x]
+        assert filters and not any("RLIKE" in x for x in filters)
+    assert sorted(tuple(r) for r in edges.select("fund_ein", "manager_ein").collect()) == [("5", "7"), ("5", "8"), ("6", "9")]
+    assert sorted(tuple(r) for r in paid.select("ein", "name").collect()) == [("5", "D"), ("7", "ACME"), ("9", "C")]
+    assert sorted(r["ein"] for r in funds.select("ein").collect()) == ["5", "6"]
