@@ -1,9 +1,13 @@
 """Tables stored in buckets are not shuffled again; stored sketches merge to the count of all parts."""
 
+import pytest
+from conftest import rows
 from pyspark.sql import functions as F
 
 from fundgraph.operators import aggregates as A
+from fundgraph.operators import features as FT
 from fundgraph.operators import relational as R
+from fundgraph.plans import registry
 from fundgraph.session import bucketed
 
 
@@ -43,3 +47,43 @@ def test_sketches_of_parts_merge_to_the_count_of_all(spark):
     assert all(abs(got[k] - want[k]) <= 0.05 * want[k] for k in want)
     assert abs(got["hub"] - want["hub"]) <= 0.03 * want["hub"]
     assert A.merged_num_managers(A.manager_sketches(e.limit(0), "part")).count() == 0
+
+
+def star_folder(spark, folder):
+    """Three filings of two customers and four payment lines."""
+    day = "timestamp '1996-01-01 00:00:00'"
+    orders = [(1, 1, 50000.0, "O"), (2, 1, 60000.0, "F"), (3, 2, 70000.0, "P")]
+    lines = [(1, 1, 1, 10.0), (1, 2, 2, 30.0), (2, 1, 1, 5.0), (3, 1, 2, 7.0)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_totalprice double, o_orderstatus string").selectExpr(
+        "*", f"{day} AS o_orderdate", "'1-URGENT' AS o_orderpriority"
+    ).write.parquet(f"{folder}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_partkey long, l_extendedprice double").selectExpr(
+        "*", "cast(1 as double) AS l_quantity", "0.05D AS l_discount", "0.02D AS l_tax", "'N' AS l_returnflag", f"{day} AS l_shipdate", "1L AS l_suppkey"
+    ).write.parquet(f"{folder}/lineitem.parquet")
+    spark.createDataFrame([(1, "A", 10), (2, "B", 40)], "p_partkey long, p_type string, p_size int").write.parquet(f"{folder}/part.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", ["assemble_fund_features", "assemble_fund_features_stored"])
+def test_assembly_reads_the_payment_lines_once(spark, tmp_path, name):
+    d = star_folder(spark, tmp_path)
+    out = registry.QUERIES[name](spark, d)
+    assert not any("lineitem.parquet" in f for f in out.inputFiles())
+    assert rows(out, "ein", "num_managers", "total_fees", "top_manager_concentration", "total_shared_managers") == [
+        ("106", 2, 45.0, 0.666667, 1), ("206", 1, 7.0, 1.0, 1),
+    ]
+
+
+def test_standardized_rows_are_computed_once(spark, tmp_path):
+    path = str(tmp_path / "x")
+    spark.createDataFrame([("a", 1.0), ("b", 3.0)], "ein string, x double").write.parquet(path)
+    out = FT.standardize(spark.read.parquet(path), ["x"])
+    assert not any(path in f for f in out.inputFiles())
+    assert rows(out, "ein", "x") == [("a", -1.0), ("b", 1.0)]
+
+
+def test_hops_and_labels_share_the_payments(spark, tmp_path, monkeypatch):
+    d, calls, real = star_folder(spark, tmp_path), [], registry.edges
+    monkeypatch.setattr(registry, "edges", lambda *a, **k: calls.append(a) or real(*a, **k))
+    assert {r["ein"] for r in registry.QUERIES["propagate_two_hops"](spark, d).select("ein").collect()} == {"106", "206"}
+    assert len(calls) == 1
