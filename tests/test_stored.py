@@ -65,10 +65,11 @@ def star_folder(spark, folder):
 
 
 @pytest.mark.parametrize("name", ["assemble_fund_features", "assemble_fund_features_stored"])
-def test_assembly_reads_the_payment_lines_once(spark, tmp_path, name):
-    d = star_folder(spark, tmp_path)
+def test_assembly_reads_the_payment_lines_once(spark, tmp_path, monkeypatch, name):
+    d, read, real = star_folder(spark, tmp_path), [], registry.P.shared_totals
+    monkeypatch.setattr(registry.P, "shared_totals", lambda fm: read.extend(fm.inputFiles()) or real(fm))
     out = registry.QUERIES[name](spark, d)
-    assert not any("lineitem.parquet" in f for f in out.inputFiles())
+    assert read and not any("lineitem.parquet" in f for f in [*read, *out.inputFiles()])
     assert rows(out, "ein", "num_managers", "total_fees", "top_manager_concentration", "total_shared_managers") == [
         ("106", 2, 45.0, 0.666667, 1), ("206", 1, 7.0, 1.0, 1),
     ]
