@@ -245,6 +245,17 @@ def test_louvain_two_cliques_and_a_bridge(spark):
     assert got["a"] != got["z"] and got["lone"] == "lone"
 
 
+def test_louvain_moves_alike_with_and_without_broadcast_communities(spark, monkeypatch):
+    rnd = random.Random(8)
+    e = sorted({(f"n{rnd.randrange(50):02d}", f"n{rnd.randrange(50):02d}", float(rnd.randrange(1, 4))) for _ in range(140)} | {("z", "z", 2.0)})
+    n, df = graph(spark, e, ["lone"], weight=True)
+    found = []
+    for limit in (LV.NEAR_NODES, 0):
+        monkeypatch.setattr(LV, "NEAR_NODES", limit)
+        found.append(rows(LV.louvain(n, df, "weight"), "id", "community_id"))
+    assert found[0] == found[1] and len({c for _, c in found[0]}) < 40
+
+
 def test_louvain_quality_and_repeatability(spark):
     rnd = random.Random(6)
     ids = [f"n{i:02d}" for i in range(60)]
