@@ -151,6 +151,17 @@ def test_strong_components_against_reachability(spark):
     assert len(set(want.values())) < len(want)
 
 
+def test_only_edges_between_payers_that_are_paid_get_numbers(spark, monkeypatch):
+    seen, real = [], CC.encode
+    monkeypatch.setattr(CC, "encode", lambda n, e, *x: seen.append(rows(e, "src", "dst")) or real(n, e, *x))
+    n, e = graph(spark, [("f1", "m1"), ("f1", "m2"), ("f2", "m1"), ("s", "s")], ["lone"])
+    assert rows(CC.strongly_connected_components(e, n), "id", "component") == [(i, i) for i in ("f1", "f2", "lone", "m1", "m2", "s")]
+    assert seen == []
+    n, e = graph(spark, [("a", "b"), ("b", "a"), ("f", "a"), ("b", "m"), ("f", "m")])
+    assert rows(CC.strongly_connected_components(e, n), "id", "component") == [("a", "b"), ("b", "b"), ("f", "f"), ("m", "m")]
+    assert seen == [[("a", "b"), ("b", "a")]]
+
+
 def test_cycle_with_tail_is_flagged(spark):
     n, e = graph(spark, [("a", "b"), ("b", "c"), ("c", "a"), ("c", "t")])
     flags = CC.circular_flag(CC.strongly_connected_components(e, n))
