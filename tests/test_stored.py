@@ -88,3 +88,27 @@ def test_hops_and_labels_share_the_payments(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(registry, "edges", lambda *a, **k: calls.append(a) or real(*a, **k))
     assert {r["ein"] for r in registry.QUERIES["propagate_two_hops"](spark, d).select("ein").collect()} == {"106", "206"}
     assert len(calls) == 1
+
+
+class Reached(Exception):
+    """The model input: what comes before it has been made."""
+
+
+@pytest.mark.parametrize("name", ["fund_score_export", "forest_baseline", "classifier_test_scores"])
+def test_exported_betweenness_has_all_nodes_as_sources(spark, tmp_path, monkeypatch, name):
+    """The fund that pays two managers lies between the second one and the other two nodes."""
+    d, seen, real = star_folder(spark, tmp_path), [], registry.chained_funds
+
+    def stop(*_):
+        raise Reached
+
+    spark.createDataFrame([(1, "X"), (2, "Y")], "c_custkey long, c_mktsegment string").write.parquet(f"{d}/customer.parquet")
+    monkeypatch.setattr(registry, "chained_funds", lambda *a: seen.append(real(*a)) or seen[0])
+    monkeypatch.setattr(registry.BC, "betweenness", lambda *a, **k: pytest.fail("sampled"))
+    monkeypatch.setattr(registry.MD, "model_input", stop)
+    if name == "fund_score_export":
+        assert rows(registry.QUERIES[name](spark, d), "ein", "betweenness_score") == [("106", 2.0), ("206", 0.0)]
+    else:
+        with pytest.raises(Reached):
+            registry.QUERIES[name](spark, d)
+    assert rows(seen[0], "ein", "betweenness_score") == [("106", 2.0), ("206", 0.0)]
