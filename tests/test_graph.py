@@ -119,6 +119,14 @@ def test_betweenness_walks_sources_with_edges_only_and_an_edge_once_a_batch(spar
     assert not [name for name, *_ in made if name == "bc_level"]
 
 
+def test_pivots_walk_alike_by_tasks_and_by_joins(spark, monkeypatch):
+    edges = random_edges(10, 18, 30)
+    n, e = graph(spark, edges, ["lone"])
+    joined = {r.id: r.betweenness_score for r in BC.betweenness(n, e, sample=5, chunk=99).collect()}
+    monkeypatch.setattr(BC, "held", None)
+    assert {r.id: r.betweenness_score for r in BC.betweenness(n, e, sample=5).collect()} == pytest.approx(joined)
+
+
 def closure(edges):
     reach = defaultdict(set)
     for a, b in edges:
