@@ -318,3 +318,21 @@ def test_exact_betweenness_of_funds_has_all_sources(spark, tmp_path):
     want = bfs_betweenness([r.id for r in g.nodes.collect()], [(r.src, r.dst) for r in g.edges.collect()], False)
     got = {r.id: r.betweenness_score for r in registry.QUERIES["betweenness_funds_exact"](spark, str(tmp_path)).collect()}
     assert got == pytest.approx(want) and len(got) > 16 and any(got.values())
+
+
+def test_rounds_of_a_small_level_send_no_link(spark, monkeypatch):
+    """Links are packed once a level, a source in one row whatever the size of a row."""
+    rnd = random.Random(15)
+    e = sorted({(f"n{rnd.randrange(30):02d}", f"n{rnd.randrange(30):02d}", float(rnd.randrange(1, 4))) for _ in range(90)})
+    n, df = graph(spark, e, weight=True)
+    want = rows(LV.louvain(n, df, "weight"), "id", "community_id")
+    packs, inner = [], LV._packed
+    monkeypatch.setattr(LV, "_packed", lambda links: packs.append(inner(links)) or packs[-1])
+    monkeypatch.setattr(LV, "PACK", 3)
+    monkeypatch.setattr(LV, "_far_moves", None)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        assert rows(LV.louvain(n, df, "weight"), "id", "community_id") == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    assert 1 <= len(packs) <= 5
