@@ -28,6 +28,21 @@ def test_concatenated_totals_read_every_partner(spark):
     assert rows(out, "ein", "total_shared_managers") == [("a", 5.0), ("b", 0.0), ("c", float("1" * 309)), ("d", 0.0)]
 
 
+def test_concatenated_totals_read_the_counts_twice(spark, monkeypatch):
+    """Once for the lengths and once for the texts; a third time only where zeros decide."""
+    kept, inner = [], A.cut
+    monkeypatch.setattr(A, "cut", lambda df, name="t": kept.append(name) or inner(df, name))
+    many = [("a", f"p{i:03d}", i % 7 + 1) for i in range(309)] + [("b", f"p{i:03d}", 12) for i in range(155)] + [("c", "x", 0), ("c", "y", 30)]
+    ff = "fund_a string, fund_b string, shared_managers long"
+    out = A.total_shared_managers(spark.createDataFrame(many, ff), "concat")
+    assert rows(out, "ein", "total_shared_managers") == [("a", float("".join(str(i % 7 + 1) for i in range(309)))), ("b", 0.0), ("c", 30.0)]
+    assert kept == ["lead"]
+    zeros = [("d", "a", 1)] + [("d", f"p{i:03d}", 0) for i in range(309)] + [("e", f"p{i:03d}", 0) for i in range(309)] + [("e", "z", 4)]
+    out = A.total_shared_managers(spark.createDataFrame(zeros, ff), "concat")
+    assert rows(out, "ein", "total_shared_managers") == [("d", 0.0), ("e", 4.0)]
+    assert kept == ["lead"] * 3
+
+
 def test_quoted_line_breaks_and_encodings(spark, tmp_path):
     raw, utf = tmp_path / "raw.csv", tmp_path / "utf.csv"
     raw.write_bytes('ACK_ID,PROVIDER_OTHER_NAME,PROVIDER_OTHER_EIN,PROVIDER_OTHER_DIRECT_COMP_AMT\n1,"A\nB",5.0,1.5\n2,CAFÉ,6,2\n'.encode("latin-1"))
